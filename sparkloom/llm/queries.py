@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, token_files
+from . import bpe, decontaminate, line_dedup, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.report(decontaminate.match(docs, _table(spark, sf_dir, "benchmark"), n=10))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), decoded=True))
 
@@ -26,9 +32,19 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, files, ids=False)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=3)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op7_bpe": op7_bpe,
     "op9_token_files": op9_token_files,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_decontamination": decontaminate.SQL,
+    "op10_line_dedup": line_dedup.SQL,
+}

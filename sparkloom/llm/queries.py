@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, token_files
+from . import bpe, decontaminate, line_dedup, quality, token_files, toxicity
+from .kernels import crc32_of_id
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +19,25 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = _table(spark, sf_dir, "labels").filter(crc32_of_id() % 3 != 1)
+    scored = toxicity.score(docs, toxicity.train(docs, learn, "toxic"))
+    return scored.select("doc_id", (crc32_of_id() % 3 == 1).alias("held_out"), "score", quality.predicted(0.7))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.match(docs, _table(spark, sf_dir, "benchmark"), n=10))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = _table(spark, sf_dir, "labels").filter(crc32_of_id() % 5 != 0)
+    scored = quality.score(docs, quality.train(docs, learn, "quality"))
+    return scored.select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score", quality.predicted(0.3))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), decoded=True))
 
@@ -38,7 +53,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op7_bpe": op7_bpe,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, quality, token_files, toxicity
+from . import bpe, decontaminate, line_dedup, quality, simhash, token_files, toxicity
 from .kernels import crc32_of_id
 
 
@@ -38,6 +38,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score", quality.predicted(0.3))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited(_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), decoded=True))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
+    "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, quality, simhash, token_files, toxicity
+from . import bpe, decontaminate, jaccard, line_dedup, quality, simhash, token_files, toxicity
 from .kernels import crc32_of_id
 
 
@@ -46,6 +46,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), decoded=True))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, files = token_files.write(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=0)
     return token_files.read(spark, folder, files, ids=False)
@@ -62,11 +66,13 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
+    "op8_jaccard": op8_jaccard,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
 
 SQL: dict[str, str] = {
     "op3_decontamination": decontaminate.SQL,
+    "op8_jaccard": jaccard.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }

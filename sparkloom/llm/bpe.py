@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from . import kernels as K
 from .shared import get_array, new_folder, put_array, shards_for, spread
 
 
+@lru_cache(maxsize=2)
 def load_tokenizer(path: str):
     """The library's tokenizer as it is in the file, without truncation and padding, in one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, line_dedup, quality, simhash, token_files, toxicity
+from . import bpe, decontaminate, jaccard, line_dedup, lm, quality, simhash, token_files, toxicity
 from .kernels import crc32_of_id
 
 
@@ -19,6 +19,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm.score(docs, lm.train(docs.filter(crc32_of_id() % 7 != 2)))
+    return scored.select("doc_id", (crc32_of_id() % 7 == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = _table(spark, sf_dir, "labels").filter(crc32_of_id() % 3 != 1)
@@ -61,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, line_dedup, lm, quality, simhash, token_files, toxicity
+from . import bpe, decontaminate, html_render, jaccard, line_dedup, lm, quality, simhash, token_files, toxicity
 from .kernels import crc32_of_id
 
 
@@ -48,6 +48,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_render.figures(html_render.extract(_table(spark, sf_dir, "pages")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), decoded=True))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
+    "op6_html_text": op6_html_text,
     "op7_bpe": op7_bpe,
     "op8_jaccard": op8_jaccard,
     "op9_token_files": op9_token_files,

@@ -28,6 +28,10 @@ from . import kernels as K
 from .shared import get_array, new_folder, put_array, shards_for, spread
 
 
+#: Words that a task remembers to have sent, at most; then it may send some again.
+REMEMBER = 1_000_000
+
+
 @lru_cache(maxsize=2)
 def load_tokenizer(path: str):
     """The library's tokenizer as it is in the file, without truncation and padding, in one thread."""
@@ -95,9 +99,13 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> tuple[str, int
         folder = new_folder(spark, "words")
 
         def emit(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
+            sent = np.zeros(0, np.uint64)  # words that this task has sent already, ascending
             for batch in batches:
                 for part in K.slices(batch, "text"):
                     data, found, where, _, _ = _words_of(part.column("text"), seed)
+                    new = ~np.isin(found, sent)
+                    found, where = found[new], where[:, new]
+                    sent = np.sort(np.concatenate([sent, found] if len(sent) < REMEMBER else [found]))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array((found >> np.uint64(shift)).astype(np.int32)), pa.array(found.view(np.int64)), _texts(data, where)], ["shard", "h", "word"]
                     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .shared import get_array, new_folder, put_array, shards_for, spread
+from .shared import get_array, new_folder, others, put_array, shards_for, spread
 
 
 #: Words that a task remembers to have sent, at most; then it may send some again.
@@ -162,7 +162,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False
     """``docs`` with ``ids array<int>``, and with ``decoded string`` if asked for: the pieces of the ids joined by one space, as the
     library decodes where the tokenizer's file names no decoder."""
     folder, shards, seed = word_table(docs, path, text)
-    own = [c for c in docs.columns if c not in ("ids", "decoded")]
+    own = others(docs, "ids", "decoded")
     rest = docs.select(*own)
     schema = T.StructType([*rest.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
     if decoded:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .shared import get, new_folder, put, spread
+from .shared import get, new_folder, others, put, spread
 
 #: Words of items in a block, at most (or one item); about 1 KB of memory each.
 BLOCK_WORDS = 100_000
@@ -174,7 +174,7 @@ def match(docs: DataFrame, items: DataFrame, n: int = 10, text: str = "text", cl
     With ``clean`` the text loses the bytes from the first to the last word of each span.
     """
     folder, blocks = build(items, n)
-    own = [c for c in docs.columns if c not in ("n_words", "n_hit", "spans", "items")]
+    own = others(docs, "n_words", "n_hit", "spans", "items")
     rest = docs.select(*own)
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
     schema = T.StructType(
@@ -266,8 +266,10 @@ def _without(column: pa.Array, data: np.ndarray, offsets: np.ndarray, starts: np
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without the matched spans; documents of which more than ``max_coverage`` of the words is matched go."""
-    matched = match(docs, items, n, clean=True)
-    return matched.filter((F.col("n_words") == 0) | (F.col("n_hit") <= max_coverage * F.col("n_words"))).select(*docs.columns)
+    # the documents' own columns travel in one, so that none is taken for a figure
+    packed = docs.select("text", F.struct(*others(docs, "text")).alias("rest")) if others(docs, "text") else docs
+    matched = match(packed, items, n, clean=True).filter((F.col("n_words") == 0) | (F.col("n_hit") <= max_coverage * F.col("n_words")))
+    return matched.select(*[F.col("text") if c.lower() == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def report(matched: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import spread
+from .shared import others, spread
 
 MAX_PAD = 40
 
@@ -344,7 +344,7 @@ class _Indent(Node):
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` without the html column, with ``text string``."""
-    own = [c for c in pages.columns if c not in (html, "text")]
+    own = others(pages, html, "text")
     schema = T.StructType([*pages.select(*own).schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

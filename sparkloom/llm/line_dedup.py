@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, spread
+from .shared import cut, others, spread
 
 _BLANKS = " \t\r"
 
@@ -46,21 +46,22 @@ def windows(docs: DataFrame, width: int = 3) -> DataFrame:
 
 def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     """``docs`` with the kept text and ``n_lines`` (non-blank lines before), ``n_removed``."""
-    docs = spread(docs.drop("n_lines", "n_removed"))
+    docs = spread(docs.select(*others(docs, "n_lines", "n_removed")))
     every = windows(docs, width)
     me = F.struct("doc_id", "th", "at")
     repeated = cut(every.groupBy("h1", "h2").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
     later = every.join(repeated, ["h1", "h2"]).filter(~me.eqNullSafe(F.col("first")))
     lost = later.groupBy("doc_id", "th").agg(F.collect_set("at").alias("_at")).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_thl"), "_at")
-    rows = _prepared(docs).join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left")
+    # the documents' own columns travel in one, so that none is taken for a working column
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    rows = _prepared(packed).join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left")
     gone = F.array_distinct(F.flatten(F.transform("_at", lambda j: F.slice("_places", j + 1, width))))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    return (
-        rows.withColumn("_gone", gone)
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")))
-        .withColumn("n_lines", F.size("_places").cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .select(*docs.columns, "n_lines", "n_removed")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
+    return rows.withColumn("_gone", gone).select(
+        *[text.alias(c) if c.lower() == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns],
+        F.size("_places").cast("long").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

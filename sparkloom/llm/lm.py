@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import elias_fano as EF
 from . import kernels as K
-from .shared import cut, get, get_array, new_folder, put, put_array, remove, shards_for, spread
+from .shared import cut, get, get_array, new_folder, others, put, put_array, remove, shards_for, spread
 
 #: Text of a slice when n-grams are counted.
 COUNT_SLICE = 10 << 20
@@ -432,7 +432,7 @@ def word_facts(folder: str, ids: np.ndarray, gamma: bool = False) -> tuple[np.nd
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens, n_known, train_tokens long, base_score, score double``: log10 probabilities of the texts."""
-    own = [c for c in docs.columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
+    own = others(docs, "n_tokens", "n_known", "train_tokens", "base_score", "score")
     rest = docs.select(*own)
     zero = F.lit(0).cast("long")
     schema = rest.select("*", zero.alias("n_tokens"), zero.alias("n_known"), zero.alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score")).schema

@@ -104,7 +104,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
 
     # at most max_rows rows of two numbers are broadcast, and their features meet in one task
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
-    found.mapInArrow(vectors, "doc_id long, y int, at array<int>, x array<float>").repartition(1).mapInArrow(fit, "n long").collect()
+    vectors_ = found.mapInArrow(vectors, "doc_id long, y int, at array<int>, x array<float>")
+    if not vectors_.repartition(1).mapInArrow(fit, "n long").collect():  # no task ran: no rows
+        put_array(uri, np.zeros((1 << BITS) + 1, np.float32))
     return uri
 
 

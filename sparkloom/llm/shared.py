@@ -50,6 +50,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def others(df: DataFrame, *names: str) -> list[str]:
+    """Columns of other names; case does not matter, as it does not to Spark."""
+    return [c for c in df.columns if c.lower() not in names]
+
+
 def size_hint(df: DataFrame) -> int:
     """Bytes of the input as the optimizer knows them (file sizes), or of its rows where it does not; no scan of files."""
     found = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

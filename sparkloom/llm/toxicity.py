@@ -240,7 +240,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
 
     # at most 2 * max_rows ids are broadcast, and as many texts meet in one task
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
-    found.repartition(1).mapInArrow(fit, "n long").collect()
+    if not found.repartition(1).mapInArrow(fit, "n long").collect():  # no task ran: no rows
+        put(uri, b"")
     return uri
 
 

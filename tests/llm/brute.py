@@ -54,3 +54,66 @@ def language_model(train: list[str | None], cutoff: int = 2):
         return len(ws) - 1, sum(one[w] > 0 for w in ws[1:]), base, total
 
     return score, n
+
+
+def shingles(text: str | None, n: int = 5) -> frozenset:
+    ws = words(text)
+    return frozenset(tuple(ws[i : i + n]) for i in range(max(len(ws) - n + 1, 1))) if ws else frozenset()
+
+
+def components(rows: list[tuple[int, str | None]], n: int = 5, percent: int = 80) -> dict[int, tuple[int, int]]:
+    """doc_id -> (set size, smallest id reachable) by all pairs."""
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[k + 1 :]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
+def bench_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def contamination(text: str | None, items: list[tuple[int, str | None]], n: int = 10) -> tuple[int, set[int], list[int]]:
+    """Words, hit positions and items by looking for every window everywhere."""
+    ws, hit, found = bench_words(text), set(), set()
+    for i, t in items:
+        own = bench_words(t)
+        m = min(n, len(own))
+        windows = {tuple(own[k : k + m]) for k in range(len(own) - m + 1)} if m else set()
+        for k in range(len(ws) - m + 1):
+            if m and tuple(ws[k : k + m]) in windows:
+                hit.update(range(k, k + m))
+                found.add(i)
+    return len(ws), hit, sorted(found)
+
+
+def deduplicated(rows: list[tuple[int, str | None]], width: int = 3) -> dict[int, str | None]:
+    seen, out = set(), {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        lines = (t or "").split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip(" \t\r")]
+        gone = set()
+        for j in range(len(full) - width + 1):
+            w = tuple(lines[k].strip(" \t\r") for k in full[j : j + width])
+            if w in seen:
+                gone.update(full[j : j + width])
+            seen.add(w)
+        out[i] = t if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def log_mean(values):
+    return sum(values) / max(len(values), 1)
+
+
+__all__ = ["Counter", "components", "contamination", "deduplicated", "defaultdict", "language_model", "math", "shingles", "words"]

@@ -72,7 +72,7 @@ def occurrences(text: Column, part: str) -> Column:
 
 def without_fence(reply: Column) -> Column:
     """A reply without the code fence around it."""
-    return F.trim(F.regexp_replace(reply, "(?m)^```(?:json)?|```$", ""))
+    return F.trim(F.regexp_replace(reply, "(?m)^```(?:json)?|```$", ""), F.lit(" \t\r\n"))
 
 
 def highlighted(text: Column, terms: list[str]) -> Column:

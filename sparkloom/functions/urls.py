@@ -64,9 +64,9 @@ def depth(url: Column) -> Column:
 
 def matches(url: Column, include: list[str], exclude: list[str]) -> Column:
     """Whether some of ``include`` (if any are given) and none of ``exclude`` occur in the URL."""
-    out = F.lit(True)
-    if include:
-        out = F.exists(F.array(*map(F.lit, include)), lambda p: F.contains(url, p))
+    out = F.lit(not include)
+    for p in include:
+        out = out | F.contains(url, F.lit(p))
     for p in exclude:
         out = out & ~F.contains(url, F.lit(p))
     return out

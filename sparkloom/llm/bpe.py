@@ -28,6 +28,8 @@ from . import kernels as K
 from .shared import get_array, new_folder, others, put_array, shards_for, spread
 
 
+#: Shards that a worker holds mapped at once.
+KEEP_FILES = 6000
 #: Words that a task remembers to have sent, at most; then it may send some again.
 REMEMBER = 1_000_000
 
@@ -66,6 +68,8 @@ class Table:
 
     def shard(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if k not in self.open:
+            if len(self.open) >= KEEP_FILES:
+                self.open.clear()
             self.open[k] = tuple(get_array(f"{self.folder}/{k}.{part}.npy") for part in ("hash", "start", "ids"))
         return self.open[k]
 

@@ -12,7 +12,7 @@ import numpy as np
 from .kernels import ranges
 from .shared import get_array, put_array
 
-_PARTS = ("head", "low", "high", "ones")
+_PARTS = ("head", "low", "high", "ones", "zeros")
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -30,7 +30,8 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     high = np.packbits(flags, bitorder="little").view("<u8")
     ones = np.zeros(len(high) + 1, np.uint32)
     np.cumsum(np.bitwise_count(high), out=ones[1:])
-    return {"head": np.array([n, bits, universe], np.int64), "low": np.concatenate([low, np.zeros(8, np.uint8)]), "high": high, "ones": ones}
+    zeros = (np.arange(len(ones), dtype=np.int64) * 64 - ones).astype(np.uint32)
+    return {"head": np.array([n, bits, universe], np.int64), "low": np.concatenate([low, np.zeros(8, np.uint8)]), "high": high, "ones": ones, "zeros": zeros}
 
 
 def _select(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -54,7 +55,7 @@ class Sequence:
         self.low, self.high, self.ones = parts["low"], parts["high"], parts["ones"]
         self.bytes8 = np.ndarray((max(len(self.low) - 7, 0),), dtype="<u8", buffer=self.low.data, strides=(1,))
         self.mask = np.uint64((1 << self.bits) - 1)
-        self.words = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones  # zeros before each word
+        self.zeros = parts["zeros"]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -64,7 +65,7 @@ class Sequence:
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at these indices."""
-        word = np.searchsorted(self.ones, i, "right") - 1
+        word = np.searchsorted(self.ones, i.astype(np.uint32), "right") - 1
         at = word * 64 + _select(self.high[word], i - self.ones[word])
         return ((at - i).astype(np.uint64) << np.uint64(self.bits)) | self._low(i)
 
@@ -73,8 +74,8 @@ class Sequence:
         top = (x >> np.uint64(self.bits)).astype(np.int64)
         want = x & self.mask
         zero = np.maximum(top - 1, 0)
-        word = np.searchsorted(self.words, zero, "right") - 1
-        at = np.where(top > 0, word * 64 + _select(~self.high[word], zero - self.words[word]) + 1, 0)
+        word = np.searchsorted(self.zeros, zero.astype(np.uint32), "right") - 1
+        at = np.where(top > 0, word * 64 + _select(~self.high[word], zero - self.zeros[word]) + 1, 0)
         i = at - top  # ones before this place
         hit = np.zeros(len(x), bool)
         open_ = np.arange(len(x))
@@ -95,8 +96,8 @@ class Sequence:
             if step == 8:
                 break
         # the end of the run is where the next zero stands
-        word = np.searchsorted(self.words, top[open_], "right") - 1
-        end = word * 64 + _select(~self.high[word], top[open_] - self.words[word]) - top[open_]
+        word = np.searchsorted(self.zeros, top[open_].astype(np.uint32), "right") - 1
+        end = word * 64 + _select(~self.high[word], top[open_] - self.zeros[word]) - top[open_]
         a, b = i[open_], end.copy()
         while (a < b).any():
             mid = (a + b) >> 1

@@ -33,6 +33,8 @@ from .shared import cut, get_array, new_folder, put_array, shards_for, size_hint
 
 #: N-grams of a file of sets, about.
 FILE_ENTRIES = 2_000_000
+#: Files of sets that a worker holds mapped at once.
+KEEP_FILES = 6000
 #: Pairs that are tested against the bounds at once.
 PAIRS = 1 << 20
 
@@ -101,6 +103,8 @@ class _Files:
 
     def file(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if k not in self.open:
+            if len(self.open) >= KEEP_FILES:
+                self.open.clear()
             self.open[k] = tuple(get_array(f"{self.folder}/{k}.{part}.npy") for part in ("keys", "start", "doc"))
         return self.open[k]
 
@@ -226,7 +230,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     size = size_hint(docs)
     bits = min(24, max(18, (size // 512).bit_length()))
     sketch = _sketch(docs, n, bits)
-    folder, blocks = new_folder(spark, "sets"), shards_for(docs, 16 << 20, 48)
+    folder, blocks = new_folder(spark, "sets"), max(48, shards_for(docs, 16 << 20, 1))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -36,6 +36,8 @@ from .shared import cut, get, get_array, new_folder, others, put, put_array, rem
 #: Text of a slice when n-grams are counted.
 COUNT_SLICE = 10 << 20
 SCALE = 7000
+#: Parts of shards that a worker holds mapped at once.
+KEEP_FILES = 6000
 END = 0  # a hash that stands for the end token
 _U = np.uint64
 
@@ -98,6 +100,8 @@ class Vocabulary:
         for a, b in zip(edges.tolist(), edges[1:].tolist()):
             k = int(which[a])
             if k not in self.open:
+                if len(self.open) >= KEEP_FILES:
+                    self.open.clear()
                 self.open[k] = [get_array(f"{self.folder}/{k}.{part}.npy") for part in ("hash", "id", "count")]
             known, id_, count = self.open[k]
             if not len(known):
@@ -215,15 +219,21 @@ class Trie:
         self.__dict__.update(facts)
         self.files: dict[str, object] = {}
 
+    def _room(self) -> None:
+        if len(self.files) >= KEEP_FILES:
+            self.files.clear()
+
     def sequence(self, k: int, name: str) -> EF.Sequence:
         key = f"{k}.{name}"
         if key not in self.files:
+            self._room()
             self.files[key] = EF.load(f"{self.folder}/{key}")
         return self.files[key]
 
     def array(self, k: int, name: str) -> np.ndarray:
         key = f"{k}.{name}.npy"
         if key not in self.files:
+            self._room()
             self.files[key] = get_array(f"{self.folder}/{key}")
         return self.files[key]
 

@@ -61,9 +61,10 @@ def size_hint(df: DataFrame) -> int:
     return found if found < 1 << 55 else 4096 * df.count()
 
 
-def shards_for(df: DataFrame, each: int = 8 << 20, least: int = 16) -> int:
-    """A power of two: how many shards give each about ``each`` bytes of input."""
-    return max(least, 1 << max(0, -(-size_hint(df) // each) - 1).bit_length())
+def shards_for(df: DataFrame, each: int = 8 << 20, least: int = 16, most: int = 1 << 16) -> int:
+    """A power of two: how many shards give each about ``each`` bytes of input. Beyond ``most`` shards grow instead, so that what one task sends to
+    one shard stays worth a message."""
+    return min(most, max(least, 1 << max(0, -(-size_hint(df) // each) - 1).bit_length()))
 
 
 def remove(spark: SparkSession, path: str) -> None:

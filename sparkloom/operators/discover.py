@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import canonical_url
+from ..plans.cuts import cut
 
 #: The order in which candidates come: source file, target, place in the target.
 ORDER = ["source_ord", "target_ord", "cand_ord"]
@@ -35,12 +36,21 @@ def known_candidates(candidates: DataFrame, held: DataFrame) -> DataFrame:
     return keyed(candidates).join(held.select("canonical_url"), "canonical_url", "left_semi")
 
 
+def numbered(rows: DataFrame, order: list[str], top: int) -> DataFrame:
+    """``rows`` with ``id``: numbers after ``top`` in that order.
+
+    Ranges of the order are numbered apart and shifted by the sizes of the ranges before; only the sizes, one a range, meet in one task.
+    """
+    placed = cut(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "placed")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # as many rows as ranges
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.join(F.broadcast(before), "_range").withColumn("id", F.lit(top) + F.col("_before") + own).drop("_range", "_before")
+
+
 def insert_new(items: DataFrame, fresh: DataFrame, now: datetime, run_id: int) -> DataFrame:
     """``items`` and the new candidates as discovered items; a publisher's own form makes them certain."""
-    top = items.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    # numbers follow the order of discovery; one narrow column is ordered, by ranges
-    ids = fresh.select("canonical_url", *ORDER).crossJoin(F.broadcast(top))  # one row
-    ids = ids.withColumn("id", F.col("_top") + F.row_number().over(Window.orderBy(*ORDER))).select("canonical_url", "id")
+    ids = numbered(fresh.select("canonical_url", *ORDER), ORDER, items.agg(F.max("id")).first()[0] or 0).select("canonical_url", "id")
     rows = fresh.join(ids, "canonical_url").withColumns(
         {
             "status": F.lit("discovered"),

@@ -45,7 +45,10 @@ def cut(df: DataFrame, kind: str = "cut") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deals out a table that lies in fewer partitions than there are cores (a single small file); larger ones stay."""
+    """Deals out a table that is read in fewer partitions than there are cores (a single small file); larger ones, and what a shuffle deals out
+    already, stay."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # asking for its partitions would run the shuffle
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -50,6 +50,11 @@ def tier_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("tier").agg(F.count(F.lit(1)).alias("n")).orderBy("tier")
 
 
+def write(rows: DataFrame, folder: str) -> None:
+    """An audit as JSON, in order of tier and organisation."""
+    rows.orderBy("tier", "org").write.mode("overwrite").json(folder)
+
+
 def figures(candidates: DataFrame, key: list[str]) -> DataFrame:
     """What the warnings rest on, per ``key``, of ``url, title, published_at``."""
     title = F.lower(F.trim(F.coalesce("title", F.lit(""))))

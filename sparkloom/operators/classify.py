@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsons import valid_only
-from ..functions.text import occurrences
+from ..functions.text import collapsed, occurrences
 
 # The axes on which items are tagged, and the words that suggest a topic.
 CONTENT_TYPES = ["news", "advice", "research", "policy", "enforcement", "review", "campaign", "blog", "event"]
@@ -26,6 +26,7 @@ KEYWORDS = {
 }
 
 READ_CHARS = 2000
+PROMPT_CHARS = 2500
 OFFLINE_CONFIDENCE = 0.4
 REVIEW_BELOW = 0.7
 BATCH = 10
@@ -76,6 +77,17 @@ def with_default(work: DataFrame, replies: DataFrame) -> DataFrame:
     )
 
 
+def prompt_part(n: Column, org: Column, title: Column, body: Column) -> Column:
+    """What a model reads of an item: its number, organisation, title and the first 2500 characters of its collapsed text."""
+    return F.concat_ws("\n", F.concat(F.lit("ITEM "), n.cast("string")), F.concat(F.lit("ORGANISATION: "), F.coalesce(org, F.lit(""))), F.concat(F.lit("TITLE: "), F.coalesce(title, F.lit(""))), F.concat(F.lit("TEXT: "), F.substring(collapsed(body), 1, PROMPT_CHARS)))
+
+
+def may_classify(again: bool, has_model: bool, offline_: bool) -> None:
+    """Labelling everything anew by keywords would lose a model's labels, so it must be asked for."""
+    if again and not has_model and not offline_:
+        raise ValueError("classifying everything again needs a model, or offline=True")
+
+
 def model_replies(work: DataFrame, ask: Callable[[list[dict]], list[dict]], keywords: dict[str, list[str]] = KEYWORDS) -> DataFrame:
     """Replies of ``ask`` to batches of ten rows, checked; a batch that fails is classified by keywords."""
     from collections.abc import Iterator

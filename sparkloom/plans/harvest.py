@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import classify, dedupe, discover, extract, revisions
+from ..operators import classify, dedupe, discover, extract, revisions, stats
 from .cuts import cut
 
 
@@ -56,6 +57,46 @@ def classify_stage(state: State, keywords: dict[str, list[str]] = classify.KEYWO
     return replace(state, items=cut(classify.apply(items, replies), "items"))
 
 
+def run(
+    state: State,
+    candidates: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    now: datetime,
+    run_id: int,
+    *,
+    refresh: bool = False,
+    limit: int | None = None,
+    keywords: dict[str, list[str]] = classify.KEYWORDS,
+    again: bool = False,
+    offline: bool = True,
+    ask=None,  # noqa: ANN001
+) -> tuple[State, DataFrame, DataFrame]:
+    """A whole run: the new state, its row of ``runs`` and its rows of ``source_runs``.
+
+    ``fetch`` turns discovered items into pages. A stage that fails ends the run; the state is then the last one written, and the row says why.
+    A run is fine if no stage and no target failed.
+    """
+    classify.may_classify(again, ask is not None, offline)
+    spark = candidates.sparkSession
+    log, note = None, None
+    try:
+        fresh = discover.new_candidates(candidates, state.items)
+        log = cut(discover.target_log(candidates, fresh, run_id), "targets")
+        state = discover_stage(state, candidates, now, run_id, refresh)
+        state = extract_stage(state, fetch(state.items.filter("status = 'discovered'")), now, limit)
+        state = dedupe_stage(state, now)
+        state = classify_stage(state, keywords, again, ask)
+    except Exception as e:  # noqa: BLE001  kept with the run
+        note = str(e)[-1500:]
+    failed = log.filter("NOT ok").count() if log is not None else 0
+    counts = stats.stages(state.items, run_id)
+    row = counts.select(
+        F.lit(run_id).cast("long").alias("id"), F.lit(now).alias("started_at"), F.lit(now).alias("finished_at"), "discovered", "extracted", "duplicates", "classified", "by_publisher",
+        F.lit(note is None and not failed).alias("ok"), F.lit(note).cast("string").alias("notes"),
+    )
+    return state, cut(row, "run"), log if log is not None else spark.createDataFrame([], "run_id long, source_id string, target string, found long, new_items long, ok boolean")
+
+
 def after_fetch(state: State, fetched: DataFrame, as_of: date, keywords: dict[str, list[str]] = classify.KEYWORDS) -> State:
     """All stages that follow fetching."""
     now = datetime.combine(as_of, time())

@@ -261,6 +261,37 @@ def test_run_from_discovery_to_labels(spark):
     assert {r.date_source for r in done.items.collect()} == {"first_seen"}
 
 
+def test_a_whole_run_and_a_failing_one(spark):
+    words = " ".join(f"bank{k}" for k in range(50))
+    rows = cands(spark, (0, 0, 0, "https://s/a"), (1, 0, 0, "https://s/b"))
+    state = harvest.State(model.empty(spark, model.ITEMS), model.empty(spark, model.REVISIONS))
+
+    def fetch(found):
+        return found.select("id", F.when(F.col("canonical_url").endswith("b"), 500).otherwise(200).alias("status_code"), F.lit(words).alias("text"), F.lit("T").alias("title"), *[F.lit(None).cast(t).alias(n) for n, t in (("og_title", "string"), ("page_date", "date"), ("page_date_source", "string"))], F.lit("html").alias("media_type"))
+
+    done, row, log = harvest.run(state, rows, fetch, NOW, 1)
+    r = row.first()
+    assert (r.discovered, r.extracted, r.classified, r.ok, r.notes) == (2, 1, 1, True, None)
+    assert {(x.source_id, x.found, x.new_items) for x in log.collect()} == {("s0", 1, 1), ("s1", 1, 1)}
+    assert {(x.canonical_url, x.status, x.error) for x in done.items.collect()} == {("https://s/a", "classified", None), ("https://s/b", "failed", "http 500")}
+
+    def broken(_):
+        raise RuntimeError("no network")
+
+    _, row, _ = harvest.run(done, cands(spark, (0, 0, 0, "https://s/c")), broken, NOW, 2)
+    assert (row.first().ok, row.first().notes) == (False, "no network")
+    with pytest.raises(ValueError, match="offline"):
+        harvest.run(done, rows, fetch, NOW, 3, again=True, offline=False)
+
+
+def test_prompt_and_audit_file(spark, tmp_path):
+    df = spark.createDataFrame([(7, "Org", None, " a\n b " + "x" * 3000)], "id long, org string, title string, body string")
+    got = df.select(classify.prompt_part(*[F.col(c) for c in df.columns]).alias("p")).first().p
+    assert got.startswith("ITEM 7\nORGANISATION: Org\nTITLE: \nTEXT: a b x") and len(got.split("TEXT: ")[1]) == 2500
+    audit.write(spark.createDataFrame([("?", "b"), ("1", "z"), ("1", "a")], "tier string, org string"), str(tmp_path / "a"))
+    assert spark.read.json(str(tmp_path / "a")).count() == 3
+
+
 def test_stream_of_candidates(spark, tmp_path):
     cands(spark, (0, 0, 0, "https://x/a"), (0, 0, 1, "https://x/a#b")).write.parquet(str(tmp_path / "in/1"))
     snapshots = incremental.Snapshots(model.empty(spark, model.ITEMS))

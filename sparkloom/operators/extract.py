@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapsed, content_hash, or_else, summary, word_count
+from ..functions.text import content_hash, or_else, summary, word_count
 
 MIN_WORDS = 40
 MAX_TITLE = 400
@@ -80,14 +80,3 @@ def extract(items: DataFrame, pages: DataFrame, now: datetime, limit: int | None
         ]
     )
     return items.join(work.select("id"), "id", "left_anti").select(*items.columns).unionByName(out)
-
-
-def usable(text: Column) -> Column:
-    return word_count(text) >= MIN_WORDS
-
-
-def page_date_ok(day: Column, as_of: date) -> Column:
-    return (F.year(day) >= 1995) & (day <= F.lit(as_of))
-
-
-__all__ = ["best_date", "best_title", "collapsed", "extract", "failure", "media_type", "page_date_ok", "usable"]

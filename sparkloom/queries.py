@@ -511,7 +511,7 @@ _FURNITURE = "[" + ", ".join(f"'{t}'" for t in audit.FURNITURE) + "]"
 
 @query(
     f"""WITH src AS (SELECT page_id, url, lower(trim({_TEXTS.format(_TITLE)})) AS t FROM pages), {CANON},
-f AS (SELECT page_id % 8 AS target, count(*) AS n, count(*) FILTER (t IN {_FURNITURE.replace('[', '(').replace(']', ')')} OR length(t) < 9) AS n_junk, count(DISTINCT t) AS n_titles, 0 AS n_dated,
+f AS (SELECT page_id % 8 AS target, count(*) AS n, count(*) FILTER (t IN {_FURNITURE.replace('[', '(').replace(']', ')')} OR length(t) < 9) AS n_junk, count(DISTINCT t) AS n_titles, CAST(0 AS BIGINT) AS n_dated,
   count(DISTINCT len(list_filter(string_split(canonical_url, '/')[4:], lambda s: s <> ''))) AS n_depths FROM canon GROUP BY 1)
 SELECT *, array_to_string(list_filter([CASE WHEN n < 3 THEN 'few' END, CASE WHEN n > 250 THEN 'many' END, CASE WHEN n_junk * 3 > n THEN 'junk_titles' END, CASE WHEN n_titles * 2 < n THEN 'repeated_titles' END, CASE WHEN n_dated = 0 THEN 'no_dates' END, CASE WHEN n_depths > 3 THEN 'many_depths' END], lambda x: x IS NOT NULL), ',') AS warnings FROM f"""
 )

@@ -97,7 +97,7 @@ class Table:
 
 def word_table(docs: DataFrame, path: str, text: str = "text") -> tuple[str, int, int]:
     """Encodes each distinct word once; returns the table's folder, number of shards and seed."""
-    spark, shards = docs.sparkSession, shards_for(docs)
+    spark, shards = docs.sparkSession, shards_for(docs, 4 << 20, 32)
     shift = 64 - shards.bit_length() + 1
     for seed in range(1, 9):
         folder = new_folder(spark, "words")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from .kernels import ranges
 from .shared import get_array, put_array
 
 _PARTS = ("head", "low", "high", "ones", "zeros")
@@ -21,8 +20,8 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     values = values.astype(np.uint64)
     low = np.zeros(0, np.uint8)
     if n and bits:
-        planes = [np.packbits(((values[a : a + (1 << 18)][:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).reshape(-1), bitorder="little") for a in range(0, n, 1 << 18)]
-        low = np.concatenate(planes)  # 2**18 values fill whole bytes
+        planes = [np.packbits(((values[a : a + (1 << 16)][:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).reshape(-1), bitorder="little") for a in range(0, n, 1 << 16)]
+        low = np.concatenate(planes)  # 2**16 values fill whole bytes
     top = (values >> np.uint64(bits)).astype(np.int64)
     size = n + (int(universe) >> bits) + 2
     flags = np.zeros(-(-size // 64) * 64, dtype=bool)
@@ -117,6 +116,3 @@ def save(uri: str, values: np.ndarray, universe: int) -> None:
 
 def load(uri: str) -> Sequence:
     return Sequence({name: get_array(f"{uri}.{name}.npy") for name in _PARTS})
-
-
-__all__ = ["Sequence", "encode", "load", "ranges", "save"]

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 #: ASCII A-Z to a-z; other bytes stay.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -55,6 +55,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # workers are kept, and so would be what they once needed
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ from . import kernels as K
 from .shared import cut, get, get_array, new_folder, others, put, put_array, remove, shards_for, spread
 
 #: Text of a slice when n-grams are counted.
-COUNT_SLICE = 10 << 20
+COUNT_SLICE = 6 << 20
 SCALE = 7000
 #: Parts of shards that a worker holds mapped at once.
 KEEP_FILES = 6000
@@ -288,7 +288,7 @@ def train(docs: DataFrame, cutoff: int = 2) -> dict:
     spark = docs.sparkSession
     docs = spread(docs.select("text"))
     vocabulary, ones, texts = build_vocabulary(docs)
-    shards, folder, width = shards_for(docs), new_folder(spark, "trie"), vocabulary.size + 2
+    shards, folder, width = shards_for(docs, 4 << 20, 32), new_folder(spark, "trie"), vocabulary.size + 2
     names = (vocabulary.folder, shards_for(docs), vocabulary.size, vocabulary.total)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,7 +46,10 @@ def cut(df: DataFrame, kind: str = "cut") -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Deals out a table that is read in fewer partitions than there are cores (a single small file); larger ones, and what a shuffle deals out
-    already, stay."""
+    already, stay. Also bounds the rows of an Arrow batch, unless the session does: texts are large."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(rows, None) is None:
+        df.sparkSession.conf.set(rows, "2000")
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df  # asking for its partitions would run the shuffle
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .bpe import load_tokenizer
-from .shared import get, new_folder, put, shards_for, spread
+from .shared import get, new_folder, put, shards_for
 
 MAGIC = b"SLTOK1\0\0"
+SLICE = 6 << 20
 #: Chunks that a worker remembers at most; then it starts anew.
 REMEMBER = 400_000
 #: UTF-8 of the white space beyond ASCII.
@@ -162,7 +163,7 @@ def write(docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None
 
         chunks, ids, counts, names = Chunks(path), [], [], []
         for batch in batches:
-            for part in K.slices(batch, "text"):
+            for part in K.slices(batch, "text", SLICE):
                 got, n = chunks.ids(part.column("text"))
                 # the end id after each text
                 out = np.full(len(got) + len(n), end_id, dtype=np.int32)

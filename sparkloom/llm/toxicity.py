@@ -167,8 +167,8 @@ class Evidence:
         known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
         out[known] = self.values[at[known]]
         new = np.flatnonzero(~known)
-        for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
+        for k in range(0, len(new), 20_000):
+            part = new[k : k + 20_000]
             e = self.model.evidence(data[K.ranges(starts[part], lengths[part])], lengths[part])
             out[part] = np.log1p(SHARE * np.expm1(np.minimum(e, 60)))
         if len(self.hashes) + len(new) > REMEMBER:

@@ -110,10 +110,3 @@ def deduplicated(rows: list[tuple[int, str | None]], width: int = 3) -> dict[int
             seen.add(w)
         out[i] = t if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
-
-
-def log_mean(values):
-    return sum(values) / max(len(values), 1)
-
-
-__all__ = ["Counter", "components", "contamination", "deduplicated", "defaultdict", "language_model", "math", "shingles", "words"]

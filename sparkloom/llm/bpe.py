@@ -126,6 +126,7 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> tuple[str, int
                 put_array(f"{folder}/{shard}.hash.npy", h[order])
                 put_array(f"{folder}/{shard}.start.npy", K.row_starts(n[order]))
                 put_array(f"{folder}/{shard}.ids.npy", flat[K.ranges(K.row_starts(n)[:-1][order], n[order])])
+                K.give_back()
 
             for batch in batches:
                 new_h, new_w = [], []

@@ -6,6 +6,7 @@ follows the slice (or one very long text), never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,11 @@ NOT_SPACE[[0x20, 9, 10, 11, 12, 13]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _TAIL = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=np.uint64)
@@ -46,6 +52,13 @@ def lookup(table: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.frombuffer(data.tobytes().translate(table.tobytes()), dtype=table.dtype)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers are kept between tasks, and so would be what they once needed."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with at most ``limit`` bytes of text each, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -55,7 +68,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(at, to - at)
         at = to
-    pa.default_memory_pool().release_unused()  # workers are kept, and so would be what they once needed
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -231,11 +231,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
             x = np.zeros((len(rows), 3))
             for a, b in (halves, halves[::-1]):
                 x[b] = inputs(Evidence(fit_model(texts.take(pa.array(a)), y[a])), texts.take(pa.array(b)))
+                K.give_back()
             model = fit_model(texts, y)
             model.t["calibration"] = calibrate(x, y, prior)
             put(uri, model.dump())
         else:
             put(uri, b"")
+        K.give_back()
         yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
 
     # at most 2 * max_rows ids are broadcast, and as many texts meet in one task

@@ -8,8 +8,8 @@ hash of u v, so a word that a third of all n-grams share is spread over all shar
   sequence itself. A child w of u v is stored by its place among the successors of v (context-relative: rank within the shard of v w, and that
   shard), which is far below V for most v; its quantised probability lies beside.
 
-Quantisation rounds probabilities and masses down (16 bits on a log scale), so no distribution exceeds one. ``cutoff`` is the model's usual cut-off for the
-highest order: trigrams seen less often are counted but get no entry of their own, and their mass goes to the back-off. It does not depend on the input.
+Quantisation rounds probabilities and masses down (16 bits on a log scale), so no distribution exceeds one. ``cutoff`` is a cut-off for the
+highest order: trigrams seen less often are counted but get no entry of their own, and their mass goes to the back-off. With 1, as in the query, all have one.
 
 Everything is made in tasks: words and n-grams are counted in slices, packed by shard and shuffled; shards are written to the shared folder and memory-mapped by
 the scoring tasks, which keep all texts in their partitions. Ids are dealt by classes of frequency, so common words have small ids and packed counts are

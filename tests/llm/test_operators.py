@@ -94,6 +94,18 @@ def test_language_model_equals_a_plain_one(docs, none):
     assert lm.score(none, model).count() == 0
 
 
+def test_the_scoring_query_keeps_trigrams_seen_once(spark, sf):
+    from sparkloom.llm import queries
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    score, n = brute.language_model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2], cutoff=1)
+    got = {r.doc_id: r for r in queries.op1_lm_scoring(spark, sf).collect()}
+    for i, t in rows:
+        tokens, _, _, total = score(t)
+        assert (got[i].n_tokens, got[i].train_tokens) == (tokens, n)
+        assert abs(got[i].score - total) < 0.001 * tokens
+
+
 def test_language_model_is_a_distribution(spark):
     texts = ["a b a c", "a b c", "b c a b", None]
     model = lm.train(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))

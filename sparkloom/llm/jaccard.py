@@ -4,11 +4,12 @@ Rows are documents' distinct sets of n-gram hashes (A-Z lower-cased, words by AS
 ordered alike, common n-grams last (a sketch of fixed size counts them over the whole corpus), so only a set's first
 ``size - ceil(t * size) + 1`` n-grams need to enter the product: two sets of similarity t or more share one of these. A block's columns name the pairs
 of rows with a common entry; bounds derived from the sizes and from the entry's places in both sets discard pairs that cannot
-reach t; for the rest the overlap is accumulated over the whole sets, 64 bits an n-gram, and compared in whole numbers.
+reach t; for the rest the two whole sets are intersected, 64 bits an n-gram, and compared in whole numbers.
 
-The result is links' connected components, so a pair whose documents a block has already joined by true links is not computed: a group of m
+``jaccard_join`` gives links' connected components, so there a pair whose documents a block has already joined by true links is not computed: a group of m
 near copies costs about m overlaps a block, not m squared. Within a block, documents next to each other by size in a column are joined
 first; in columns that still hold several components, all pairs outside the largest one are computed. No candidate is dropped, and no list is capped.
+``all_links`` gives the links themselves: it computes every candidate pair, in a group of m near copies up to m squared.
 
 Sets are written once to the shared folder (one file for each few thousand documents) and read where a block needs them; equal sets of one file enter
 once. Only (n-gram, place, size) of the leading n-grams are shuffled, packed by file and block.
@@ -164,6 +165,32 @@ class _Block:
         np.minimum.at(best, root[linked], ids)
         return ids, best[root[linked]]
 
+    def run_all(self, key: np.ndarray, where: np.ndarray, place: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All linked pairs of the block by place (file and row), and whether their sets are equal."""
+        order = np.lexsort((where, size, key))
+        key, where, place, size = key[order], where[order], place[order], size[order]
+        first = np.flatnonzero(np.diff(key, prepend=~key[:1])) if len(key) else np.zeros(0, np.int64)
+        length = np.diff(first, append=len(key))
+        self.docs, self.doc = np.unique(where, return_inverse=True)
+        self.size = np.zeros(len(self.docs), np.int64)
+        self.size[self.doc] = size
+        self.place = place.astype(np.int64)
+        held, n, codes = [], 0, np.zeros(0, np.int64)
+        for k in range(1, int(length.max(initial=0))):
+            own = length > k
+            first, length = first[own], length[own]
+            left = K.ranges(first, length - k)
+            for a in range(0, len(left), PAIRS):
+                held.append(self.candidates(left[a : a + PAIRS], left[a : a + PAIRS] + k))
+                n += len(held[-1])
+                if n > PAIRS:
+                    codes, held, n = np.unique(np.concatenate([codes, *held])), [], 0
+        x, y = np.divmod(np.unique(np.concatenate([codes, *held])), max(len(self.docs), 1))
+        common = np.array([self.common(a, b) for a, b in zip(x.tolist(), y.tolist())], dtype=np.int64)
+        near = 100 * common >= self.percent * (self.size[x] + self.size[y] - common)
+        same = (common == self.size[x]) & (common == self.size[y])
+        return self.docs[x[near]], self.docs[y[near]], same[near]
+
     def roots(self) -> np.ndarray:
         while True:
             up = self.parent[self.parent]
@@ -175,21 +202,23 @@ class _Block:
         root = self.roots()[self.doc]
         return np.flatnonzero((np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)) & (length > 2))
 
+    def candidates(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Codes of the pairs of documents of two entries of a column that the bounds allow."""
+        da, db = self.doc[a], self.doc[b]
+        na, nb = self.size[da], self.size[db]
+        t = self.percent
+        ok = (da != db) & (100 * np.minimum(na, nb) >= t * np.maximum(na, nb))
+        # the entry is at best the first common one: what follows it bounds the overlap
+        most = 1 + np.minimum(na - self.place[a], nb - self.place[b]) - 1
+        ok &= (100 + t) * most >= t * (na + nb)
+        return np.minimum(da[ok], db[ok]) * len(self.docs) + np.maximum(da[ok], db[ok])
+
     def test(self, left: np.ndarray, right: np.ndarray) -> None:
         """Joins the documents of two entries of a column where bounds allow it and the whole overlap suffices."""
         for k in range(0, len(left), PAIRS):
-            a, b = left[k : k + PAIRS], right[k : k + PAIRS]
-            da, db = self.doc[a], self.doc[b]
-            na, nb = self.size[da], self.size[db]
-            t = self.percent
-            ok = (da != db) & (100 * np.minimum(na, nb) >= t * np.maximum(na, nb))
-            # the entry is at best the first common one: what follows it bounds the overlap
-            most = 1 + np.minimum(na - self.place[a], nb - self.place[b]) - 1
-            ok &= (100 + t) * most >= t * (na + nb)
+            code = self.candidates(left[k : k + PAIRS], right[k : k + PAIRS])
             root = self.roots()
-            ok &= root[da] != root[db]
-            a, b = np.minimum(da[ok], db[ok]), np.maximum(da[ok], db[ok])
-            code = np.setdiff1d(a * len(self.docs) + b, self.tested)
+            code = np.setdiff1d(code[root[code // len(self.docs)] != root[code % len(self.docs)]], self.tested)
             if not len(code):
                 continue
             self.tested = np.union1d(self.tested, code)
@@ -213,18 +242,21 @@ class _Block:
         row = w & 0xFFFFFFFF
         return keys[start[row] : start[row + 1]]
 
-    def linked(self, x: int, y: int) -> bool:
+    def common(self, x: int, y: int) -> int:
         a, b = self.set_of(x), self.set_of(y)
         if len(a) > len(b):
             a, b = b, a
         at = np.searchsorted(b, a)
         at[at == len(b)] = 0
-        common = int(np.count_nonzero(b[at] == a))
-        return 100 * common >= self.percent * (len(a) + len(b) - common)
+        return int(np.count_nonzero(b[at] == a))
+
+    def linked(self, x: int, y: int) -> bool:
+        common = self.common(x, y)
+        return 100 * common >= self.percent * (int(self.size[x]) + int(self.size[y]) - common)
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles long, component_id``: one row for each row of ``docs``."""
+def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFrame, str]:
+    """The blocks' rows and the folder of the sets. A row is a file's number, or a link: of doc_ids, or with ``every`` of places of sets (and whether they are equal)."""
     spark = docs.sparkSession
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     size = size_hint(docs)
@@ -302,14 +334,48 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             for block, number, named, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 own.setdefault(block, []).append((number, zlib.decompress(raw)))
                 if named:
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["file", "a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_())], names)
         for entries in own.values():
             tables = [_wide(raw) for _, raw in entries]
             where = np.concatenate([t[1].astype(np.int64) | number << 32 for t, (number, _) in zip(tables, entries)])
             key, _, place, many = np.concatenate(tables, axis=1)
+            if every:
+                a, b, same = _Block(files, percent).run_all(key, where, place, many)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(same)], names)
+                continue
             a, b = _Block(files, percent).run(key, where, place, many)
             keep = a != b
-            yield pa.RecordBatch.from_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(a[keep]), pa.array(b[keep])], ["file", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(a[keep]), pa.array(b[keep]), pa.nulls(int(keep.sum()), pa.bool_())], names)
+
+    names = ["file", "a", "b", "same"]
+    found = docs.mapInArrow(emit, "block int, file long, named boolean, entries binary").repartition(blocks, "block").mapInArrow(join, "file long, a long, b long, same boolean")
+    return cut(found, "links"), folder
+
+
+def all_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``a, b long``: all links a < b between different sets, each named by the smallest doc_id that has it. Sets of one doc_id have no link with each other."""
+    found, folder = _product(docs, n, percent, True)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                ids = np.asarray(get_array(f"{folder}/{number}.doc.npy"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(ids)) | number << 32, pa.int64()), pa.array(ids, pa.int64())], ["place", "doc"])
+
+    pairs = found.filter("file is null")
+    equal = components(pairs.filter("same").select("a", "b")).select(F.col("id").alias("place"), "root")
+    sets = found.filter("file is not null").select("file").distinct().mapInArrow(places, "place long, doc long")
+    sets = cut(sets.join(equal, "place", "left").select("place", F.coalesce("root", "place").alias("root"), "doc"), "sets")
+    name = sets.groupBy("root").agg(F.min("doc").alias("doc"))
+    named = cut(sets.select("place", "root").join(name, "root").select("place", "doc"), "sets")
+    ends = lambda c: named.select(F.col("place").alias(c), F.col("doc").alias(f"d{c}"))
+    both = pairs.filter("not same").select("a", "b").join(ends("a"), "a").join(ends("b"), "b").filter("da != db")
+    return both.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")).distinct()
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles long, component_id``: one row for each row of ``docs``."""
+    found, folder = _product(docs, n, percent, False)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,8 +384,6 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                 none = has == 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=none), pa.array(rep, mask=none), pa.array(counts)], ["doc_id", "rep", "n_shingles"])
 
-    found = docs.mapInArrow(emit, "block int, file long, named boolean, entries binary").repartition(blocks, "block").mapInArrow(join, "file long, a long, b long")
-    found = cut(found, "links")
     groups = components(found.filter("file is null").select("a", "b")).select(F.col("id").alias("rep"), "root")
     names = found.filter("file is not null").select("file").distinct()
     every = names.mapInArrow(members, "doc_id long, rep long, n_shingles long")

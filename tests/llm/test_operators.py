@@ -174,6 +174,28 @@ def test_jaccard_in_a_large_group_of_near_copies(spark):
     assert got == want
 
 
+def test_jaccard_gives_all_links_between_different_sets(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = []
+    for _ in range(60):  # near copies of one text, some of them equal
+        own = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            own[rng.randrange(len(own))] = f"e{rng.randrange(40)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate([*texts, *texts[:9], None, "", "one", "one"]))
+    rng.shuffle(rows)
+    first = {}
+    for i, t in sorted(rows):
+        if s := brute.shingles(t):
+            first.setdefault(s, i)
+    own = list(first.items())
+    want = {(min(i, j), max(i, j)) for k, (a, i) in enumerate(own) for b, j in own[k + 1 :] if 100 * len(a & b) >= 80 * len(a | b)}
+    got = [tuple(r) for r in jaccard.all_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 60
+    assert jaccard.all_links(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_components_of_paths_stars_and_rings(spark):
     links = [(k, k + 1) for k in range(100, 140)] + [(7, k) for k in range(200, 230)] + [(3, 4), (4, 5), (5, 3), (9, 9), (None, 1)]
     got = {r.id: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

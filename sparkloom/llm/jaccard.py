@@ -384,9 +384,11 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                 none = has == 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=none), pa.array(rep, mask=none), pa.array(counts)], ["doc_id", "rep", "n_shingles"])
 
-    groups = components(found.filter("file is null").select("a", "b")).select(F.col("id").alias("rep"), "root")
     names = found.filter("file is not null").select("file").distinct()
     every = names.mapInArrow(members, "doc_id long, rep long, n_shingles long")
+    # a row that another stands for is linked to it: its doc_id may have rows with other sets
+    stands = every.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    groups = components(found.filter("file is null").select("a", "b").unionByName(stands)).select(F.col("id").alias("rep"), "root")
     return every.join(groups, "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
 
 

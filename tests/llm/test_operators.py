@@ -157,6 +157,13 @@ def test_jaccard_equals_all_pairs(spark, docs, none):
     assert jaccard.jaccard_join(none).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_jaccard_joins_all_rows_of_a_doc_id(spark, parts):
+    rows = [(5, "a b c d e f g"), (5, "h i j k l m n"), (3, "a b c d e f g"), (9, "h i j k l m n"), (7, "o p q r s t u")]
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    same([(r.doc_id, r.component_id) for r in got], [(5, 3), (5, 3), (3, 3), (9, 3), (7, 7)])
+
+
 def test_jaccard_in_a_large_group_of_near_copies(spark):
     rng = random.Random(2)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]

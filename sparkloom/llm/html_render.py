@@ -3,7 +3,8 @@
 The tree builder closes and opens tags that HTML lets authors omit (paragraphs, list items, table rows and cells, options, definition terms), ignores stray
 end tags, and keeps script-like content apart. Not visible are the head, scripts, styles, templates and other content that browsers do not paint, elements
 with ``hidden``, ``display:none`` or ``visibility:hidden`` in their style, and what a style sheet of the page hides by a plain selector (tag, class,
-id). Everything else stays, navigation and footers included.
+id), in media blocks if they apply to a screen of the size ``SCREEN``. Everything else stays, navigation and footers included, formulas, the texts of drawings (a line each), all
+options of a selection and the content of text areas.
 
 Layout: white space collapses except in ``pre``; paragraphs, headings, lists, tables and quotes stand apart by a blank line, other blocks by a line break; list items carry
 ``-`` or their number and are indented by nesting; cells of a table are padded to columns (a cell of over ``MAX_PAD`` characters does not widen its column).
@@ -31,13 +32,16 @@ MAX_PAD = 40
 # Element names of the HTML standard by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas svg math datalist select textarea".split())
+UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas datalist annotation annotation-xml mphantom".split())
+#: In an svg, what is drawn elsewhere or not at all; of the rest only these elements hold text.
+NOT_DRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
+DRAWN = frozenset("text foreignobject".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr menu dir".split())
-BLOCKS = APART | CLOSES_P | frozenset("html body tr caption tbody thead tfoot optgroup option legend".split())
+BLOCKS = APART | CLOSES_P | frozenset("html body tr caption tbody thead tfoot optgroup option legend select textarea".split())
 BARRIERS = frozenset("table td th caption button template html body".split())
 #: A start tag ends open elements of these names, as far as the nearest of the others.
 ENDS = {
@@ -59,7 +63,10 @@ _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_BRACE = re.compile(r"[{}]")
+_FEATURE = re.compile(r"\(\s*(min|max)-(width|height)\s*:\s*([\d.]+)\s*(px|em|rem)\s*\)\Z")
+#: The screen for which media rules are judged, in CSS pixels.
+SCREEN = {"width": 1280, "height": 720}
 _PLAIN = re.compile(r"([a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?\Z")
 
 
@@ -142,16 +149,16 @@ def parse(html: str) -> tuple[Node, list[str]]:
         if name in ("td", "th") and stack[-1].name in ("table", "tbody", "thead", "tfoot"):
             open_("tr", {})
         attrs = _attributes(found[3]) if found[3] else {}
-        if name in VOID:
+        if name in VOID or (found[3].endswith("/") and (count.get("svg") or count.get("math") or name in ("svg", "math"))):
             stack[-1].kids.append(Node(name, attrs))
         elif name in RAW:
             end = re.compile(rf"</{name}\s*/?>?", re.I).search(html, at)
             stop = end.start() if end else size
             node = Node(name, attrs)
-            node.kids.append(html[at:stop])
+            node.kids.append(unescape(re.sub(r"\A\r?\n", "", html[at:stop])) if name == "textarea" else html[at:stop])
             stack[-1].kids.append(node)
             if name == "style":
-                sheets.append(html[at:stop])
+                sheets.append(f"@media {attrs['media']}{{{html[at:stop]}}}" if attrs.get("media", "").strip() else html[at:stop])
             at = end.end() if end else size
         elif stack[-1].name == "head" and name not in ("noscript", "template"):
             pop()
@@ -161,12 +168,52 @@ def parse(html: str) -> tuple[Node, list[str]]:
     return root, sheets
 
 
+def on_screen(query: str) -> bool:
+    """Whether a media query list applies to the screen; a condition that is not known does not hold."""
+
+    def holds(part: str) -> bool | None:
+        if part in ("", "all", "screen"):
+            return True
+        if part in ("print", "speech"):
+            return False
+        if m := _FEATURE.match(part):
+            try:
+                size = float(m[3]) * (1 if m[4] == "px" else 16)
+            except ValueError:
+                return None
+            return SCREEN[m[2]] >= size if m[1] == "min" else SCREEN[m[2]] <= size
+        return None
+
+    for one in query.lower().split(","):
+        one = re.sub(r"\A\s*only\s+", "", one).strip()
+        negated = one.startswith("not ")
+        parts = [holds(p.strip()) for p in re.split(r"\band\b", one[4:] if negated else one)]
+        if (False in parts) if negated else all(parts):
+            return True
+    return False
+
+
+def _rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """Selectors and bodies of the rules of a sheet, without those of media blocks that do not apply."""
+    open_, at = [], 0  # for each open block: what stands before it, where it starts, whether it applies
+    for m in _BRACE.finditer(sheet):
+        if m[0] == "{":
+            head = sheet[at : m.start()].rpartition(";")[2].strip()
+            applies = (not open_ or open_[-1][2]) and (not head.lower().startswith("@media") or on_screen(head[6:]))
+            open_.append((head, m.end(), applies))
+        elif open_:
+            head, start, applies = open_.pop()
+            if applies and not head.startswith("@") and "{" not in sheet[start : m.start()]:
+                yield head, sheet[start : m.start()]
+        at = m.end()
+
+
 def hiding_selectors(sheets: list[str]) -> set[tuple[str, str, str]]:
     """Plain selectors (tag, ``.`` or ``#``, name) under which a style sheet hides elements."""
     out = set()
     for sheet in sheets:
         if "none" in sheet or "hidden" in sheet or "collapse" in sheet:
-            for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
+            for selectors, body in _rules(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
                 if _HIDES.search(body):
                     for s in selectors.split(","):
                         if (m := _PLAIN.match(s.strip())) and (m[1] or m[3]):
@@ -186,6 +233,22 @@ def hidden(node: Node, selectors: set[tuple[str, str, str]]) -> bool:
     return False
 
 
+def drawn(svg: Node, selectors: set[tuple[str, str, str]]) -> list[Node]:
+    """The texts of a drawing, each as a block."""
+    out, walk = [], list(reversed(svg.kids))
+    while walk:
+        node = walk.pop()
+        if isinstance(node, str) or node.name in NOT_DRAWN or hidden(node, selectors):
+            continue
+        if node.name in DRAWN:
+            block = Node("div", {})
+            block.kids = node.kids
+            out.append(block)
+        else:
+            walk.extend(reversed(node.kids))
+    return out
+
+
 class Flow:
     """Lines of a block of text as they come about."""
 
@@ -303,10 +366,10 @@ def render(html: str) -> str:
             elif name in ("blockquote", "dd"):
                 flow.indent += 2
                 walk.append((_Indent(2), True))
-            elif name == "pre":
+            elif name in ("pre", "textarea"):
                 pre += 1
             walk.append((node, True))
-            walk.extend((kid, False) for kid in reversed(node.kids))
+            walk.extend((kid, False) for kid in reversed(drawn(node, selectors) if name == "svg" else node.kids))
             continue
         if name == "#indent":
             flow.line()
@@ -326,7 +389,7 @@ def render(html: str) -> str:
         elif name in BLOCKS and not (name == "tr" and tables):
             if name in ("ul", "ol", "menu", "dir") and lists:
                 lists.pop()
-            if name == "pre":
+            if name in ("pre", "textarea"):
                 pre -= 1
             flow.block(1 if name not in APART or (name in ("ul", "ol", "menu", "dir") and lists) else 2)
     return "\n".join(flows[0].done())

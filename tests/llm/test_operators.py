@@ -302,6 +302,24 @@ def test_rendered_pages(html, text):
     assert html is None or html_render.render(html) == text
 
 
+MORE_PAGES = [
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", "so x=2 holds"),
+    ("a<svg><title>t</title><desc>d</desc><path d='M0 0'/><defs><text>no</text></defs><g><text>One <tspan>label</tspan></text><text>two</text></g>stray</svg>b", "a\nOne label\ntwo\nb"),
+    ("<select><option>red<option selected>blue</select>", "red\nblue"),
+    ("<textarea>\nx &lt;  y\nz</textarea>after", "x <  y\nz\nafter"),
+    ("<style>@media print{.x{display:none}}</style><p class=x>seen", "seen"),
+    ("<style>@media (max-width: 600px){.x{display:none} .y{color:red}} .z{display:none}</style><p class=x>seen<p class=z>not", "seen"),
+    ("<style>@media screen and (min-width: 600px){.x{display:none}}</style><p class=x>not<p>seen", "seen"),
+    ("<style>@media not print{.x{display:none}}</style><p class=x>not<p>seen", "seen"),
+    ("<style media=print>.x{display:none}</style><p class=x>seen", "seen"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), MORE_PAGES)
+def test_formulas_fields_labels_and_media_rules(html, text):
+    assert html_render.render(html) == text
+
+
 def test_extraction_over_a_table(spark):
     table = spark.createDataFrame([(k, h, "old") for k, (h, _) in enumerate(PAGES)], "page_id long, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_render.figures(html_render.extract(table)).collect()}

@@ -32,10 +32,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by similarity, the one with the smallest doc_id stays; documents without doc_id stay."""
-    groups = jaccard.jaccard_join(docs)
-    gone = cut(groups.filter("component_id != doc_id").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of documents linked by similarity, the one with the smallest doc_id stays. Of rows equal in doc_id and text one stays. A document
+    without doc_id goes by a hash of its text instead, of 2**62 or more, so that one with a doc_id stays before it."""
+    high = 1 << 62
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit(high - 1)).bitwiseOR(F.lit(high)))
+    named = docs.withColumn("_own", own).withColumn("_text", F.xxhash64("text"))
+    groups = jaccard.jaccard_join(named.select(F.col("_own").alias("doc_id"), "text"))
+    gone = cut(groups.filter("component_id != doc_id").select(F.col("doc_id").alias("_own")).distinct(), "copies")
+    left = named.join(gone, "_own", "left_anti")
+    again = cut(named.groupBy("_own", "_text").count().filter("count > 1").select("_own", "_text"), "repeats")
+    if not again.isEmpty():
+        repeated = left.join(again, ["_own", "_text"], "left_semi").dropDuplicates(["_own", "_text"])
+        left = left.join(again, ["_own", "_text"], "left_anti").unionByName(repeated)
+    return left.select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

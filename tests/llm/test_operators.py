@@ -430,3 +430,14 @@ def test_pipeline_stages_on_odd_rows(spark, sf):
     for name, stage in P.STAGES:
         assert stage(spark, odd, sf).count() >= 2, name
         assert stage(spark, odd.limit(0), sf).count() == 0, name
+
+
+def test_pipeline_keeps_one_of_copies_without_or_with_the_same_id(spark, sf):
+    import corpus_pipeline as P
+
+    one, two = "a b c d e f g h i j k l", "m n o p q r s t u v w x"
+    rows = [(1, one), (1, one), (2, two), (None, two), (None, "only here, twice over"), (None, "only here, twice over"), (4, "some text"), (4, "other words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], spark.read.parquet(f"{sf}/documents.parquet").schema)
+    got = P.drop_near_copies(spark, docs, sf)
+    assert got.columns == docs.columns
+    same([(r.doc_id, r.text) for r in got.collect()], [(1, one), (2, two), (None, "only here, twice over"), (4, "some text"), (4, "other words")])

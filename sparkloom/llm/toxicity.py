@@ -9,7 +9,7 @@ computed once and kept in a bounded table of the worker.
 
 The labelled sample makes the counts (a word counts once a document). Evidence becomes a probability by logistic regression on the
 logs of the normalised difference, the whole difference and the length; for that, each half of the sample is scored by a model of the other half, so
-the counts' own words cannot flatter it. The sample is bounded by ``max_rows``
+the counts' own words cannot flatter it; a label's rows are dealt to both halves. Where a label has a single row the model of the whole sample scores it. The sample is bounded by ``max_rows``
 rows a label (the smallest by hash of doc_id); the share of the labels among all rows that may be learnt from corrects the intercept.
 One task trains; the tables go to the shared folder. Scoring is a map over the documents, without any shuffle.
 
@@ -226,13 +226,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((d, t or "", y) for b in batches for d, y, t in zip(*(c.to_pylist() for c in b.columns)))
         texts, y = pa.array([t for _, t, _ in rows], pa.string()), np.array([y for *_, y in rows], dtype=np.float64)
-        halves = [np.arange(k, len(rows), 2) for k in (0, 1)]
-        if all(0 < y[h].sum() < len(h) for h in halves):
+        if 0 < y.sum() < len(y):
+            # every second row of each label
+            by_label = [np.flatnonzero(y == c) for c in (0, 1)]
+            halves = [np.sort(np.concatenate([own[k::2] for own in by_label])) for k in (0, 1)]
             x = np.zeros((len(rows), 3))
-            for a, b in (halves, halves[::-1]):
-                x[b] = inputs(Evidence(fit_model(texts.take(pa.array(a)), y[a])), texts.take(pa.array(b)))
-                K.give_back()
+            if min(map(len, by_label)) > 1:
+                for a, b in (halves, halves[::-1]):
+                    x[b] = inputs(Evidence(fit_model(texts.take(pa.array(a)), y[a])), texts.take(pa.array(b)))
+                    K.give_back()
             model = fit_model(texts, y)
+            if min(map(len, by_label)) == 1:
+                x = inputs(Evidence(model), texts)
             model.t["calibration"] = calibrate(x, y, prior)
             put(uri, model.dump())
         else:

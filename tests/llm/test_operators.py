@@ -281,6 +281,16 @@ def test_classifiers_learn_and_define_odd_cases(spark, docs, none, module, label
     assert [r.score for r in blank] == [0.5 if module is quality else 0.0]
 
 
+@pytest.mark.parametrize("toxic", [[4], [2, 4], [0, 2, 6, 10]])
+def test_toxicity_learns_from_labels_of_one_parity(spark, toxic):
+    rng = random.Random(8)
+    rows = [(k, words_of(rng, 40) + (" zorg zorgish blargen blarg" if k in toxic else "")) for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k in toxic)) for k, _ in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(table, toxicity.train(table, labels, "toxic")).collect()}
+    assert min(got[k] for k in toxic) > max(v for k, v in got.items() if k not in toxic)
+
+
 PAGES = [
     ("<p>a<p>b", "a\n\nb"),
     ("<ul><li>one<li>two<ul><li>x</ul></ul><ol start=3><li>c<li>d</ol>after", "- one\n- two\n  - x\n\n3. c\n4. d\n\nafter"),

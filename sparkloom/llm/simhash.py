@@ -6,7 +6,8 @@ added eight bytes at a time: a table turns a byte of the hash into two words of
 
 ``neighbours`` finds all pairs of different fingerprints within a Hamming radius: the bits are cut into ``radius + spare`` blocks, and each
 table permutes one choice of ``spare`` blocks to the front; two fingerprints within the radius agree on all of some choice. Each table is
-an equi-join on those leading blocks. Equal fingerprints are one class beforehand, so exact copies make no pairs.
+an equi-join on those leading blocks. The default radius makes 630 tables with leads of about 14 bits: whole, but for few millions of fingerprints
+at most; a smaller radius has fewer tables and longer leads. Equal fingerprints are one class beforehand, so exact copies make no pairs.
 
 Defined results: null and empty texts have no terms and the fingerprint of all zeros; equal texts have equal fingerprints; repeated rows all stay.
 """
@@ -27,6 +28,9 @@ from . import kernels as K
 from .shared import cut, shards_for, spread
 
 BITS = 256
+#: Bits within which near copies lie. Measured on 1500 texts of sf0.01 with words replaced, among those that keep a five-word Jaccard of 0.8: 99 % are
+#: within 31 bits after one word, 34 after two, 38 after five (95 % within 26, 29 and 33). Of 1500 pairs of different texts the nearest was 42 apart.
+RADIUS = 34
 #: Terms of a segment at most: four times as many fit a 16-bit counter.
 _SEGMENT = 16_000
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
@@ -94,7 +98,7 @@ def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
     return spread(rest).mapInArrow(run, schema)
 
 
-def neighbours(prints: DataFrame, radius: int = 3, spare: int = 2) -> DataFrame:
+def neighbours(prints: DataFrame, radius: int = RADIUS, spare: int = 2) -> DataFrame:
     """``a, b string, distance int``: all pairs a < b of different values of ``fingerprint`` at most ``radius`` bits apart."""
     distinct = cut(prints.filter(F.col("fingerprint").isNotNull()).select("fingerprint").distinct(), "prints")
     blocks = radius + spare

@@ -256,6 +256,28 @@ def test_simhash_neighbours_are_all_pairs_in_the_radius(spark):
     assert got == want and want
 
 
+def test_simhash_neighbours_of_edited_texts(spark, sf):
+    rng = random.Random(7)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r.text and len(r.text.split()) >= 150][:40]
+    pool = [w for t in texts for w in t.split()]
+    rows = []
+    for k, t in enumerate(texts):
+        for words in (0, 1, 2):
+            own = t.split()
+            for at in rng.sample(range(len(own)), words):
+                own[at] = rng.choice(pool)
+            rows.append((3 * k + words, " ".join(own)))
+    prints = simhash.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "fingerprint").collect()
+    by_id = {r.doc_id: r.fingerprint for r in prints}
+    got = {tuple(r) for r in simhash.neighbours(spark.createDataFrame([(p,) for p in by_id.values()], "fingerprint string")).collect()}
+    own = sorted(set(by_id.values()))
+    want = {(a, b, d) for i, a in enumerate(own) for b in own[i + 1 :] if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= simhash.RADIUS}
+    assert got == want
+    pairs = {(a, b) for a, b, _ in got}
+    copies = [tuple(sorted((by_id[3 * k], by_id[3 * k + w]))) for k in range(len(texts)) for w in (1, 2)]
+    assert len(texts) >= 20 and sum(a == b or (a, b) in pairs for a, b in copies) >= 0.95 * len(copies)
+
+
 @pytest.mark.parametrize(("module", "label"), [(quality, "quality"), (toxicity, "toxic")])
 def test_classifiers_learn_and_define_odd_cases(spark, docs, none, module, label):
     rng = random.Random(8)

@@ -4,8 +4,9 @@ The non-blank lines of a text, stripped of surrounding spaces, tabs and carriage
 is hashed (128 bits); equal windows are found over all documents; the first occurrence, by (doc_id, text hash, position), stays and
 every line that a later occurrence covers goes, whatever window covers it. Only DataFrame functions run.
 
-Shuffles carry 40 bytes a window; repeated windows are pre-aggregated before the shuffle, so a window that a third of the documents hold costs a
-row for each task. Texts move once, to meet the positions that they lose.
+Shuffles carry 40 bytes a window. Windows are written once; equal ones are pre-aggregated before the shuffle, and where windows meet their first
+occurrence again, those that a large share of all windows equals (at most 1024) are broadcast instead, so none of them lands in one task.
+Texts move once, to meet the positions that they lose.
 
 Defined results: texts with fewer than ``width`` non-blank lines have no window and stay; null stays null; rows that repeat both doc_id and
 text are one document and get one result; rows without doc_id come first in the order; other columns pass through, except that
@@ -14,52 +15,64 @@ columns named ``n_lines`` or ``n_removed`` are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut, others, spread
 
 _BLANKS = " \t\r"
+#: A window that more than this share of all windows equals is joined apart; at most ``1 / HOT`` of them exist.
+HOT = 1 / 1024
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """With the lines, the places of the non-blank ones, and a hash that tells texts of one doc_id apart."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    places = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i), F.lit(_BLANKS)) != "")
-    return docs.withColumn("_lines", lines).withColumn("_places", places).withColumn("_th", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
+def _lines(text: str = "text") -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def _text_hash() -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
 
 
 def windows(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id, th, at, h1, h2``: one row for each window of each document."""
-    line = lambda j, k: F.trim(F.get("_lines", F.get("_places", j + k)), F.lit(_BLANKS))
-    coded = F.transform(
-        F.sequence(F.lit(0), F.size("_places") - width),
-        lambda j: F.struct(F.xxhash64(*[line(j, k) for k in range(width)]).alias("h1"), F.xxhash64(F.lit(7), *[line(j, k) for k in range(width)]).alias("h2")),
-    )
-    return (
-        _prepared(docs.select("doc_id", "text"))
-        .filter(F.size("_places") >= width)
-        .select("doc_id", F.col("_th").alias("th"), F.posexplode(coded).alias("at", "w"))
-        .select("doc_id", "th", "at", "w.h1", "w.h2")
-    )
+    """``doc_id, th, at, h1, h2``: one row for each window of each document. Each line is stripped and hashed once; a window's hashes are made of its lines'."""
+    stripped = F.filter(F.transform(_lines(), lambda x: F.trim(x, F.lit(_BLANKS))), lambda x: x != "")
+    coded = F.transform(stripped, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b")))
+    lines = docs.select("doc_id", _text_hash().alias("th"), F.posexplode(F.transform(F.array(coded), lambda x: x)).alias("_", "c")).filter(F.size("c") >= width)
+    each = lines.select("doc_id", "th", "c", F.explode(F.sequence(F.lit(0), F.size("c") - width)).alias("at"))
+    of = lambda f: [F.get("c", F.col("at") + k).getField(f) for k in range(width)]
+    return each.select("doc_id", "th", "at", F.xxhash64(*of("a")).alias("h1"), F.xxhash64(*of("b")).alias("h2"))
+
+
+def _later(every: DataFrame) -> DataFrame:
+    """The windows that equal an earlier one: ``doc_id, th, at``."""
+    me = F.struct("doc_id", "th", "at")
+    repeated = cut(every.groupBy("h1", "h2").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "windows")
+    # a window that a large share of all equals would meet in one task: those few are broadcast, at most 1 / HOT by their definition
+    least = max(1000, int(every.count() * HOT))
+    hot, cold = repeated.filter(F.col("n") > least), repeated.filter(F.col("n") <= least)
+    fronts = hot.select("h1", "h2", F.col("first").alias("hot"))
+    told = every.join(F.broadcast(fronts), ["h1", "h2"], "left")
+    few = told.filter("hot IS NULL").join(cold.drop("n"), ["h1", "h2"]).filter(~me.eqNullSafe(F.col("first")))
+    return told.filter(F.col("hot").isNotNull() & ~me.eqNullSafe(F.col("hot"))).select("doc_id", "th", "at").unionByName(few.select("doc_id", "th", "at"))
 
 
 def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     """``docs`` with the kept text and ``n_lines`` (non-blank lines before), ``n_removed``."""
     docs = spread(docs.select(*others(docs, "n_lines", "n_removed")))
-    every = windows(docs, width)
-    me = F.struct("doc_id", "th", "at")
-    repeated = cut(every.groupBy("h1", "h2").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
-    later = every.join(repeated, ["h1", "h2"]).filter(~me.eqNullSafe(F.col("first")))
+    later = _later(cut(windows(docs, width), "windows"))
     lost = later.groupBy("doc_id", "th").agg(F.collect_set("at").alias("_at")).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_thl"), "_at")
-    # the documents' own columns travel in one, so that none is taken for a working column
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    rows = _prepared(packed).join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left")
+    # the documents' other columns travel in one, so that none is taken for a working column
+    rest = others(docs, "doc_id", "text")
+    packed = docs.select("doc_id", "text", F.struct(*rest).alias("_row") if rest else F.lit(None).cast("int").alias("_row"), _text_hash().alias("_th"))
+    rows = packed.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left").withColumn("_lines", _lines())
+    places = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i), F.lit(_BLANKS)) != "")
     gone = F.array_distinct(F.flatten(F.transform("_at", lambda j: F.slice("_places", j + 1, width))))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    return rows.withColumn("_gone", gone).select(
-        *[text.alias(c) if c.lower() == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns],
+    own = {"text": text, "doc_id": F.col("doc_id")}
+    return rows.withColumn("_places", places).withColumn("_gone", gone).select(
+        *[own.get(c.lower(), F.col("_row").getField(c) if rest else None).alias(c) for c in docs.columns],
         F.size("_places").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

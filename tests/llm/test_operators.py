@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 
@@ -64,19 +65,69 @@ def test_token_files_read_back(spark, docs, none):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     lib = Tokenizer.from_file(path)
-    odd = spark.createDataFrame([(100, "a \n b   c"), (101, " lead  and trail \n\n")], "doc_id long, text string")
+    odd_rows = [(100, "a\u00a0\n b \u2003 c"), (101, " lead\u3000 and trail \n\n")]
+    odd = spark.createDataFrame(odd_rows, "doc_id long, text string")
     every = docs.select("doc_id", "text").union(odd)
     folder, files = token_files.write(every, path)
     got = token_files.read(spark, folder, files).orderBy("start").collect()
-    rows = sorted([*rows_(), (100, "a \n b   c"), (101, " lead  and trail \n\n")], key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-    start = 0
-    for r, (i, t) in zip(got, rows, strict=True):
-        e = [*lib.encode(t or "", add_special_tokens=False).ids, 0]
-        assert (r.doc_id, r.start, r.n_tokens, list(r.ids), r.ids_crc32) == (i, start, len(e), e, zlib.crc32(np.array(e, "<u4").tobytes()))
-        start += len(e)
+    assert check_files(got, [*rows_(), *odd_rows], lib)
     assert token_files.read(spark, *token_files.write(none, path)).count() == 0
 
 
+def check_files(got, rows, lib):
+    """Rows come in order of doc_id, null first, those of one doc_id in any order; places follow each other."""
+    want, start = {}, 0
+    for i, t in rows:
+        want.setdefault(i, []).append([*lib.encode(t or "", add_special_tokens=False).ids, 0])
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    for r in got:
+        ids = list(r.ids)
+        want[r.doc_id].remove(ids)
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    return not any(want.values())
+
+
+def test_token_files_spread_a_doc_id_that_many_rows_share(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(11)
+    rows = [(7, words_of(rng, 3)) for _ in range(4000)] + [(None, words_of(rng, 3)) for _ in range(2000)] + [(7, "same")] * 4000 + [(-(2**63), "least"), (2**63 - 1, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    folder, files = token_files.write(table, path)
+    assert len(files) >= 4 and max(n for _, n, _ in files) < 0.4 * len(rows)
+    got = token_files.read(spark, folder, files).orderBy("start").collect()
+    assert check_files(got, rows, Tokenizer.from_file(path))
+
+
+def test_token_chunks_end_where_the_library_breaks():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, chunks = Tokenizer.from_file(path), token_files.Chunks(path)
+    marks = st.lists(st.sampled_from([*"aB1é漢.,;:!?)(\"'-_<>| \t\n\r\x0b\x1c\x85\xa0\u2003", "'s", "'ll", "<|endoftext|>", "don't", "x.", "  "]), max_size=40).map("".join)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(marks | st.text(max_size=20), min_size=1, max_size=5))
+    def equal(texts):
+        ids, n = chunks.ids(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+    equal()
+
+
+def test_token_chunks_of_another_kind_of_tokenizer_go_whole():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib, chunks, texts = Tokenizer.from_file(path), token_files.Chunks(path), ["It's ONE, two.", "", "a  b"]
+    ids, n = chunks.ids(pa.array(texts, pa.string()))
+    assert chunks.whole and [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_language_model_equals_a_plain_one(docs, none):
     keep = [(i, t) for i, t in rows_() if i is not None and i % 3]
     score, n = brute.language_model([t for _, t in keep])
@@ -222,6 +273,19 @@ def test_line_dedup_equals_a_plain_one(docs, none):
     assert line_dedup.line_dedup(none).count() == 0
 
 
+def test_line_dedup_of_a_window_in_a_third_of_all_rows(spark):
+    rng = random.Random(12)
+    rows = [(None, "h1\nh2\nh3"), (None, None), (9000, "h2\nh3")]
+    for i in range(1200):
+        own = [f"l{rng.randrange(400)}" for _ in range(rng.randrange(0, 4))]
+        rows.append((i, "\n".join([*own, *(["h1", " h2", "", "h3\r"] if i % 2 else []), f"u{i}"])))
+    got = {r.doc_id: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).filter("doc_id IS NOT NULL").collect()}
+    # rows without doc_id come first, so the shared lines stay there
+    want = brute.deduplicated([(-1, "h1\nh2\nh3"), *rows[2:]])
+    assert {i: r.text for i, r in got.items()} == {i: t for i, t in want.items() if i >= 0}
+    assert sum(r.n_removed >= 3 for r in got.values()) >= 600
+
+
 def test_simhash_edited_texts_and_ties(docs, none):
     rows = sorted(rows_(), key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
     want = []

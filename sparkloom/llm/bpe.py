@@ -53,7 +53,7 @@ def _words_of(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray, np.n
     return data, found, np.stack([starts[place], lengths[place]]) if len(found) else np.zeros((2, 0), np.int64), index, counts
 
 
-def _texts(data: np.ndarray, where: np.ndarray) -> pa.Array:
+def as_texts(data: np.ndarray, where: np.ndarray) -> pa.Array:
     """The spans as Arrow strings."""
     starts, lengths = where
     flat = data[K.ranges(starts, lengths)]
@@ -111,7 +111,7 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> tuple[str, int
                     found, where = found[new], where[:, new]
                     sent = np.sort(np.concatenate([sent, found] if len(sent) < REMEMBER else [found]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array((found >> np.uint64(shift)).astype(np.int32)), pa.array(found.view(np.int64)), _texts(data, where)], ["shard", "h", "word"]
+                        [pa.array((found >> np.uint64(shift)).astype(np.int32)), pa.array(found.view(np.int64)), as_texts(data, where)], ["shard", "h", "word"]
                     )
 
         def write(batches: Iterator[pa.RecordBatch], folder: str = folder) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,8 @@ columns named ``n_lines`` or ``n_removed`` are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,19 +67,39 @@ def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     # the documents' other columns travel in one, so that none is taken for a working column
     rest = others(docs, "doc_id", "text")
     packed = docs.select("doc_id", "text", F.struct(*rest).alias("_row") if rest else F.lit(None).cast("int").alias("_row"), _text_hash().alias("_th"))
-    rows = packed.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left").withColumn("_lines", _lines())
-    places = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i), F.lit(_BLANKS)) != "")
-    gone = F.array_distinct(F.flatten(F.transform("_at", lambda j: F.slice("_places", j + 1, width))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    own = {"text": text, "doc_id": F.col("doc_id")}
-    return rows.withColumn("_places", places).withColumn("_gone", gone).select(
+    rows = packed.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_thl")), "left").withColumn("_cut", _without(width))
+    own = {"text": F.when(F.col("_at").isNull(), F.col("text")).otherwise(F.col("_cut.text")), "doc_id": F.col("doc_id")}
+    return rows.select(
         *[own.get(c.lower(), F.col("_row").getField(c) if rest else None).alias(c) for c in docs.columns],
-        F.size("_places").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.col("_cut.n").cast("long").alias("n_lines"),
+        F.col("_cut.gone").cast("long").alias("n_removed"),
     )
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once, however often ``of`` names it and whatever the optimizer merges."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def _without(width: int) -> Column:
+    """The text without the lines of the windows ``_at``, how many of its lines are not blank, and how many go."""
+    none = F.array().cast("array<int>")
+
+    def of_places(lines: Column, places: Column) -> Column:
+        gone = F.array_distinct(F.flatten(F.transform(F.coalesce("_at", F.array().cast("array<int>")), lambda j: F.slice(places, j + 1, width))))
+        return _let(F.coalesce(gone, none), lambda g: F.struct(of_gone(lines, g).alias("text"), F.size(places).alias("n"), F.size(g).alias("gone")))
+
+    def of_gone(lines: Column, gone: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.when(F.size(gone) > 0, F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+
+    def of_lines(lines: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i), F.lit(_BLANKS)) != "")
+        return _let(places, lambda p: of_places(lines, p))
+
+    return _let(_lines(), of_lines)
+
+
 SQL = r"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),

@@ -32,8 +32,10 @@ from . import kernels as K
 from .components import components
 from .shared import cut, get_array, new_folder, put_array, shards_for, size_hint, spread
 
-#: N-grams of a file of sets, about.
-FILE_ENTRIES = 2_000_000
+#: N-grams of a file of sets, about: a few megabytes, so that what a task holds beside a slice of texts stays small.
+FILE_ENTRIES = 500_000
+#: Bits of a set's place within its file; the file's number stands before them.
+ROW = 24
 #: Files of sets that a worker holds mapped at once.
 KEEP_FILES = 6000
 #: Pairs that are tested against the bounds at once.
@@ -102,13 +104,17 @@ class _Files:
     def __init__(self, folder: str):
         self.folder, self.open = folder, {}
 
-    def file(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def file(self, k: int) -> tuple[np.ndarray, ...]:
         if k not in self.open:
             if len(self.open) >= KEEP_FILES:
                 self.open.clear()
-            self.open[k] = tuple(get_array(f"{self.folder}/{k}.{part}.npy") for part in ("keys", "start", "doc"))
+            self.open[k] = tuple(get_array(f"{self.folder}/{k}.{part}.npy") for part in ("keys", "start", "doc", "name"))
         return self.open[k]
 
+    def of(self, places: np.ndarray, part: int) -> np.ndarray:
+        """What stands for sets in one array of their files."""
+        return np.array([self.file(w >> ROW)[part][w & ((1 << ROW) - 1)] for w in places.tolist()], dtype=np.int64)
+
 
 class _Block:
     """The columns of one block: which of its documents are linked."""
@@ -160,13 +166,13 @@ class _Block:
                 self.test(np.minimum(one, two), np.maximum(one, two))
         root = self.roots()
         linked = np.flatnonzero(np.bincount(root, minlength=len(root))[root] > 1)
-        ids = np.array([self.files.file(int(w >> 32))[2][int(w & 0xFFFFFFFF)] for w in self.docs[linked].tolist()], dtype=np.int64)
+        ids = self.files.of(self.docs[linked], 2)
         best = np.full(len(root), np.iinfo(np.int64).max)
         np.minimum.at(best, root[linked], ids)
         return ids, best[root[linked]]
 
     def run_all(self, key: np.ndarray, where: np.ndarray, place: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All linked pairs of the block by place (file and row), and whether their sets are equal."""
+        """All linked pairs of the block by the sets' names, and whether their sets are equal."""
         order = np.lexsort((where, size, key))
         key, where, place, size = key[order], where[order], place[order], size[order]
         first = np.flatnonzero(np.diff(key, prepend=~key[:1])) if len(key) else np.zeros(0, np.int64)
@@ -189,7 +195,7 @@ class _Block:
         common = np.array([self.common(a, b) for a, b in zip(x.tolist(), y.tolist())], dtype=np.int64)
         near = 100 * common >= self.percent * (self.size[x] + self.size[y] - common)
         same = (common == self.size[x]) & (common == self.size[y])
-        return self.docs[x[near]], self.docs[y[near]], same[near]
+        return self.files.of(self.docs[x[near]], 3), self.files.of(self.docs[y[near]], 3), same[near]
 
     def roots(self) -> np.ndarray:
         while True:
@@ -238,8 +244,8 @@ class _Block:
 
     def set_of(self, d: int) -> np.ndarray:
         w = int(self.docs[d])
-        keys, start, _ = self.files.file(w >> 32)
-        row = w & 0xFFFFFFFF
+        keys, start, *_ = self.files.file(w >> ROW)
+        row = w & ((1 << ROW) - 1)
         return keys[start[row] : start[row + 1]]
 
     def common(self, x: int, y: int) -> int:
@@ -256,7 +262,7 @@ class _Block:
 
 
 def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFrame, str]:
-    """The blocks' rows and the folder of the sets. A row is a file's number, or a link: of doc_ids, or with ``every`` of places of sets (and whether they are equal)."""
+    """The blocks' rows and the folder of the sets. A row is a file's number, or a link: of doc_ids, or with ``every`` of names of sets (and whether they are equal)."""
     spark = docs.sparkSession
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     size = size_hint(docs)
@@ -268,20 +274,26 @@ def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFr
         from pyspark import TaskContext
 
         level = np.asarray(get_array(f"{sketch}/levels.npy"))
-        number = TaskContext.get().partitionId() << 12
+        # files are named by the attempt: a second one, whose rows may come in another order, never writes over what others hold rows of
+        context = TaskContext.get()
+        number, made = context.taskAttemptId() << 12, []
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
             keys, counts, ids, has = (np.concatenate(x) for x in zip(*held))
             start = K.row_starts(counts)
-            # equal sets: by a sum of their hashes and the size; the smallest doc_id stands for them
+            # equal sets: neighbours by a sum of their hashes and the size, compared whole; the smallest doc_id stands for them
             sums = np.zeros(len(counts), np.uint64)
             full = np.flatnonzero((counts > 0) & has)
             if len(full):
                 sums[full] = np.add.reduceat(K.mix(keys.copy()), start[full])
             order = full[np.lexsort((ids[full], counts[full], sums[full]))]
             new = np.ones(len(order), bool)
-            new[1:] = (sums[order[1:]] != sums[order[:-1]]) | (counts[order[1:]] != counts[order[:-1]])
+            like = 1 + np.flatnonzero((sums[order[1:]] == sums[order[:-1]]) & (counts[order[1:]] == counts[order[:-1]]))
+            if len(like):
+                one, two = order[like - 1], order[like]
+                same = keys[K.ranges(start[one], counts[one])] == keys[K.ranges(start[two], counts[two])]
+                new[like] = ~np.logical_and.reduceat(same, K.row_starts(counts[one])[:-1])
             chief = order[new]
             rep = ids.copy()
             rep[order] = ids[chief][np.cumsum(new) - 1]
@@ -289,6 +301,9 @@ def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFr
             put_array(f"{folder}/{number}.keys.npy", keys[K.ranges(at, n_chief)])
             put_array(f"{folder}/{number}.start.npy", K.row_starts(n_chief))
             put_array(f"{folder}/{number}.doc.npy", ids[chief])
+            # what tells sets apart in links, the same in every attempt
+            put_array(f"{folder}/{number}.name.npy", K.mix(sums[chief] ^ K.mix(ids[chief].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + n_chief.astype(np.uint64))).view(np.int64))
+            made.append(number)
             put_array(f"{folder}/{number}.members.npy", np.stack([ids, rep, counts, has.astype(np.int64)]))
             length = _prefix(n_chief, percent)
             lead = K.mix(keys[K.ranges(at, length)].copy())
@@ -297,17 +312,13 @@ def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFr
             order = np.argsort(block, kind="stable")
             ends = np.searchsorted(block[order], np.arange(blocks + 1))
             table = np.stack([(lead & np.uint64(0xFFFFFFFF)).astype("<u4"), row.astype("<u4"), place.astype("<u4"), many.astype("<u4")])[:, order]
-            # one message for each block; the file's name goes with the first
-            used = [k for k in range(blocks) if ends[k] < ends[k + 1] or k == number % blocks]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used, pa.int32()),
-                    pa.array([number] * len(used), pa.int64()),
-                    pa.array([k == number % blocks for k in used]),
-                    pa.array([zlib.compress(_narrow(table[:, ends[k] : ends[k + 1]]), 1) for k in used], pa.binary()),
-                ],
-                ["block", "file", "named", "entries"],
-            )
+            used = [k for k in range(blocks) if ends[k] < ends[k + 1]]
+            packed = [zlib.compress(_narrow(table[:, ends[k] : ends[k + 1]]), 1) for k in used]
+            return message(used, [number] * len(used), [None] * len(used), packed)
+
+        def message(block: list, file: list, files: list, entries: list) -> pa.RecordBatch:
+            columns = [pa.array(block, pa.int32()), pa.array(file, pa.int64()), pa.array(files, pa.list_(pa.int64())), pa.array(entries, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["block", "file", "files", "entries"])
 
         total = 0
         for batch in batches:
@@ -324,21 +335,31 @@ def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFr
                 if total >= FILE_ENTRIES:
                     yield flush()
                     number, total = number + 1, 0
+                    if len(made) >> 12:
+                        raise ValueError("a partition of texts needs more than 4096 files: use more partitions")
                     held.clear()
+                    K.give_back()
         if held:
             yield flush()
+        # one message names all files of this attempt, so that files of two attempts are never taken together
+        if made:
+            yield message([context.partitionId() % blocks], [None], [made], [None])
+        held.clear()
+        K.give_back()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, own = _Files(folder), {}
         for batch in batches:
-            for block, number, named, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                own.setdefault(block, []).append((number, zlib.decompress(raw)))
-                if named:
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_())], names)
+            for block, number, made, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if made is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(made, pa.int64()), pa.nulls(len(made), pa.int64()), pa.nulls(len(made), pa.int64()), pa.nulls(len(made), pa.bool_())], names)
+                else:
+                    own.setdefault(block, []).append((number, raw))
         for entries in own.values():
-            tables = [_wide(raw) for _, raw in entries]
-            where = np.concatenate([t[1].astype(np.int64) | number << 32 for t, (number, _) in zip(tables, entries)])
+            tables = [_wide(zlib.decompress(raw)) for _, raw in entries]
+            where = np.concatenate([t[1].astype(np.int64) | number << ROW for t, (number, _) in zip(tables, entries)])
             key, _, place, many = np.concatenate(tables, axis=1)
+            del tables
             if every:
                 a, b, same = _Block(files, percent).run_all(key, where, place, many)
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(same)], names)
@@ -348,7 +369,7 @@ def _product(docs: DataFrame, n: int, percent: int, every: bool) -> tuple[DataFr
             yield pa.RecordBatch.from_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(a[keep]), pa.array(b[keep]), pa.nulls(int(keep.sum()), pa.bool_())], names)
 
     names = ["file", "a", "b", "same"]
-    found = docs.mapInArrow(emit, "block int, file long, named boolean, entries binary").repartition(blocks, "block").mapInArrow(join, "file long, a long, b long, same boolean")
+    found = docs.mapInArrow(emit, "block int, file long, files array<long>, entries binary").repartition(blocks, "block").mapInArrow(join, "file long, a long, b long, same boolean")
     return cut(found, "links"), folder
 
 
@@ -359,12 +380,12 @@ def all_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number in batch.column(0).to_pylist():
-                ids = np.asarray(get_array(f"{folder}/{number}.doc.npy"))
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(ids)) | number << 32, pa.int64()), pa.array(ids, pa.int64())], ["place", "doc"])
+                ids, own = (np.asarray(get_array(f"{folder}/{number}.{part}.npy")) for part in ("doc", "name"))
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(ids, pa.int64())], ["place", "doc"])
 
     pairs = found.filter("file is null")
     equal = components(pairs.filter("same").select("a", "b")).select(F.col("id").alias("place"), "root")
-    sets = found.filter("file is not null").select("file").distinct().mapInArrow(places, "place long, doc long")
+    sets = found.filter("file is not null").select("file").mapInArrow(places, "place long, doc long").distinct()
     sets = cut(sets.join(equal, "place", "left").select("place", F.coalesce("root", "place").alias("root"), "doc"), "sets")
     name = sets.groupBy("root").agg(F.min("doc").alias("doc"))
     named = cut(sets.select("place", "root").join(name, "root").select("place", "doc"), "sets")
@@ -384,7 +405,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                 none = has == 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=none), pa.array(rep, mask=none), pa.array(counts)], ["doc_id", "rep", "n_shingles"])
 
-    names = found.filter("file is not null").select("file").distinct()
+    # names are few, what they stand for is not: the number of tasks follows the input
+    names = found.filter("file is not null").select("file").repartition(shards_for(docs, 64 << 20, docs.sparkSession.sparkContext.defaultParallelism), "file")
     every = names.mapInArrow(members, "doc_id long, rep long, n_shingles long")
     # a row that another stands for is linked to it: its doc_id may have rows with other sets
     stands = every.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

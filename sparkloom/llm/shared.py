@@ -116,8 +116,17 @@ def get(uri: str) -> bytes:
 
 
 def put_array(uri: str, array: np.ndarray) -> None:
+    """An array file, without another copy of the array in memory where it is a mounted path."""
+    array = np.ascontiguousarray(array)
+    if path := _local(uri):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        part = f"{path}.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            np.lib.format.write_array(f, array, allow_pickle=False)
+        os.replace(part, path)
+        return
     out = io.BytesIO()
-    np.save(out, np.ascontiguousarray(array))
+    np.save(out, array)
     put(uri, out.getvalue())
 
 

@@ -30,7 +30,9 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     ones = np.zeros(len(high) + 1, np.uint32)
     np.cumsum(np.bitwise_count(high), out=ones[1:])
     zeros = (np.arange(len(ones), dtype=np.int64) * 64 - ones).astype(np.uint32)
-    return {"head": np.array([n, bits, universe], np.int64), "low": np.concatenate([low, np.zeros(8, np.uint8)]), "high": high, "ones": ones, "zeros": zeros}
+    whole = np.zeros(-(-len(low) // 8) * 8 + 8, np.uint8)
+    whole[: len(low)] = low
+    return {"head": np.array([n, bits, universe], np.int64), "low": whole.view("<u8"), "high": high, "ones": ones, "zeros": zeros}
 
 
 def _select(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -52,7 +54,6 @@ class Sequence:
     def __init__(self, parts: dict[str, np.ndarray]):
         self.n, self.bits, self.universe = (int(x) for x in parts["head"])
         self.low, self.high, self.ones = parts["low"], parts["high"], parts["ones"]
-        self.bytes8 = np.ndarray((max(len(self.low) - 7, 0),), dtype="<u8", buffer=self.low.data, strides=(1,))
         self.mask = np.uint64((1 << self.bits) - 1)
         self.zeros = parts["zeros"]
 
@@ -60,7 +61,13 @@ class Sequence:
         if not self.bits:
             return np.zeros(len(i), np.uint64)
         at = i * self.bits
-        return (self.bytes8[at >> 3] >> (at & 7).astype(np.uint64)) & self.mask
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        # a value may reach into the next word; a shift by 64 is made of two
+        out = self.low[word] >> shift
+        shift ^= np.uint64(63)
+        out |= (self.low[word + 1] << np.uint64(1)) << shift
+        out &= self.mask
+        return out
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at these indices."""

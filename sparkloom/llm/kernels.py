@@ -142,6 +142,27 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy(zero_copy_only=False)
 
 
+def in_order(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values below ``bound`` in ascending order, and their places before. Value and place are sorted as one number where they fit."""
+    bits = max(len(values) - 1, 0).bit_length()
+    if (bound - 1).bit_length() + bits > 64:
+        order = np.argsort(values, kind="stable")
+        return values[order], order
+    both = values.astype(np.uint64) << np.uint64(bits) | np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def distinct_in_order(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values below ``bound``, ascending, and for each value the place of its own."""
+    ordered, order = in_order(values, bound)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    index = np.empty(len(ordered), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return ordered[new], index
+
+
 def row_starts(counts: np.ndarray) -> np.ndarray:
     """Offsets of rows that hold ``counts`` entries each."""
     out = np.zeros(len(counts) + 1, dtype=np.int64)

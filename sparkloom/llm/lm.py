@@ -49,8 +49,11 @@ def quantise(p: np.ndarray) -> np.ndarray:
     return np.where(p > 0, np.clip(code, 0, 65534), 65535).astype(np.uint16)
 
 
+_VALUES = np.append(10.0 ** (-np.arange(65535) / SCALE), 0.0)
+
+
 def dequantise(code: np.ndarray) -> np.ndarray:
-    return np.where(code == 65535, 0.0, 10.0 ** (-code.astype(np.float64) / SCALE))
+    return _VALUES[code]
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -184,32 +187,34 @@ def _discount(once: int, twice: int) -> float:
 
 
 def _grams(column: pa.Array, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Tokens of texts as ids and as distinct bigrams and trigrams.
+    """Tokens of texts as ids and as distinct bigrams.
 
-    ``u, v``: the distinct bigrams; ``two``: the bigram that each token ends; ``three``: the distinct trigrams as pairs of bigrams (context, tail) and
-    ``tri``: the one that each token ends, -1 for the first of a text, which has a bigram alone.
+    ``counts``: tokens of each text; ``index``: each token's place among the distinct ones and ``found_counts`` these ones' counts; ``codes``: the distinct bigrams
+    ``u * width + v``, ascending, with ``u`` and ``v``; ``two``: the bigram that each token ends; ``at``: tokens that end a trigram, all but the first of each text.
     """
     words, counts = tokens(column)
     found, index = K.distinct(words)
     ids, n, _ = vocabulary.find(found)
-    token, start = ids[index], K.row_starts(counts)
+    token, start, width = ids[index], K.row_starts(counts), vocabulary.size + 2
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[start[:-1][counts > 0]] = vocabulary.size  # the start of a text
-    codes, two = K.distinct((before * (vocabulary.size + 2) + token).astype(_U))
-    u, v = np.divmod(codes.astype(np.int64), vocabulary.size + 2)
+    codes, two = K.distinct_in_order((before * width + token).astype(_U), width * width)
+    u, v = np.divmod(codes.astype(np.int64), width)
     inner = np.ones(len(token), bool)
     inner[start[:-1]] = False
-    at = np.flatnonzero(inner)
-    pairs, tri_of = K.distinct(two[at - 1].astype(np.int64) * len(codes) + two[at])
-    tri = np.full(len(token), -1, np.int64)
-    tri[at] = tri_of
-    context, tail = np.divmod(pairs, max(len(codes), 1))
-    return {"counts": counts, "found_counts": n, "index": index, "token": token, "codes": codes, "u": u, "v": v, "two": two.astype(np.int64), "context": context, "tail": tail, "tri": tri}
+    return {"counts": counts, "found_counts": n, "index": index, "codes": codes, "u": u, "v": v, "two": two, "at": np.flatnonzero(inner)}
 
 
 def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
-    return (K.mix(codes.copy()) % _U(shards)).astype(np.int64)
+    """``shards`` is a power of two."""
+    return (K.mix(codes.copy()) & _U(shards - 1)).astype(np.int64)
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places by shard, in their order within each, and the ends of the shards. Sixteen bits are sorted by their digits."""
+    order = np.argsort(shard.astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
+    return order, K.row_starts(np.bincount(shard, minlength=shards))
 
 
 class Trie:
@@ -237,11 +242,12 @@ class Trie:
             self.files[key] = get_array(f"{self.folder}/{key}")
         return self.files[key]
 
-    def locate(self, codes: np.ndarray, relative: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shard and place of bigrams (-1: absent), and their context-relative ids as successors of their first word."""
+    def locate(self, codes: np.ndarray, leaves: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of ascending bigrams the shard, the place (-1: absent), the context-relative id as a successor of the first word; with ``leaves`` also the
+        probability (absent: 0) and the mass left to shorter contexts (absent: 1)."""
         shard, place, rel = _shard(codes, self.shards), np.full(len(codes), -1, np.int64), np.zeros(len(codes), np.int64)
-        order = np.lexsort((codes, shard))
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        p2, g3 = np.full(len(codes), 65535, np.uint16), np.zeros(len(codes), np.uint16)
+        order, edges = _by_shard(shard, self.shards)
         width = _U(self.width)
         for k in range(self.shards):
             own = order[edges[k] : edges[k + 1]]
@@ -249,41 +255,51 @@ class Trie:
                 continue
             two = self.sequence(k, "two")
             i, hit = two.successor(codes[own])
-            place[own[hit]] = i[hit]
-            if relative and hit.any():
-                heads, back = np.unique(codes[own[hit]] // width, return_inverse=True)
-                rel[own[hit]] = (i[hit] - two.successor(heads * width)[0][back]) * self.shards + k
-        return shard, place, rel
+            i, own = i[hit], own[hit]
+            if not len(own):
+                continue
+            place[own] = i
+            heads = codes[own] // width
+            new = np.ones(len(heads), bool)
+            new[1:] = heads[1:] != heads[:-1]
+            rel[own] = (i - two.successor(heads[new] * width)[0][np.cumsum(new) - 1]) * self.shards + k
+            if leaves:
+                p2[own], g3[own] = self.array(k, "p2")[i], self.array(k, "g3")[i]
+        return shard, place, rel, dequantise(p2), dequantise(g3)
 
     def children(self, shard: np.ndarray, place: np.ndarray, rel: np.ndarray) -> np.ndarray:
         """Probabilities of the children with those relative ids under located contexts; 0 where there is none."""
-        out = np.zeros(len(shard))
-        order = np.lexsort((place, shard))
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        out = np.full(len(shard), 65535, np.uint16)
+        order, edges = _by_shard(shard, self.shards)
         for k in range(self.shards):
             own = order[edges[k] : edges[k + 1]]
             if not len(own):
                 continue
-            base = self.sequence(k, "base")
-            value = base.access(place[own]) + rel[own].astype(_U)
-            fits = np.flatnonzero(value < base.access(place[own] + 1))
+            base, at = self.sequence(k, "base"), place[own]
+            # contexts come up again and again: where their children begin and end is asked once
+            asked, back = K.distinct_in_order(at, base.n + 1)
+            asked = asked.astype(np.int64)
+            first, last = base.access(asked), base.access(asked + 1)
+            value = first[back] + rel[own].astype(_U)
+            fits = np.flatnonzero(value < last[back])
             if len(fits):
                 i, hit = self.sequence(k, "three").successor(value[fits])
-                out[own[fits[hit]]] = dequantise(self.array(k, "p3")[i[hit]])
-        return out
+                out[own[fits[hit]]] = self.array(k, "p3")[i[hit]]
+        return dequantise(out)
 
-    def gather(self, name: str, shard: np.ndarray, place: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(shard))
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for k in range(self.shards):
-            own = order[edges[k] : edges[k + 1]]
-            if len(own):
-                out[own] = dequantise(self.array(k, name)[place[own]])
-        return out
+
+def counted(values: np.ndarray, bound: int, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values below ``bound`` in ascending order, where each begins among the ordered ones, and their numbers or the sums of their weights."""
+    ordered, order = K.in_order(values, bound)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)
+    if weights is None:
+        return ordered[first], first, np.diff(first, append=len(ordered)).astype("<u4")
+    return ordered[first], first, np.add.reduceat(weights[order], first) if len(first) else weights
 
 
-def train(docs: DataFrame, cutoff: int = 2) -> dict:
+def train(docs: DataFrame, cutoff: int = 1) -> dict:
     """Trains on the texts of ``docs``; returns what :class:`Trie` and :class:`Vocabulary` are opened with."""
     spark = docs.sparkSession
     docs = spread(docs.select("text"))
@@ -296,25 +312,23 @@ def train(docs: DataFrame, cutoff: int = 2) -> dict:
         for batch in batches:
             for part in K.slices(batch, "text", COUNT_SLICE):
                 g = _grams(part.column("text"), own)
-                n2 = np.bincount(g["two"], minlength=len(g["codes"])).astype("<u4")
-                n3 = np.bincount(g["tri"][g["tri"] >= 0], minlength=len(g["context"])).astype("<u4")
-                shard = _shard(g["codes"], shards)
-                order = np.lexsort((g["codes"], shard))
+                two, at, codes = g["two"], g["at"], g["codes"]
+                n2 = np.bincount(two, minlength=len(codes)).astype("<u4")
+                order, ends = _by_shard(_shard(codes, shards), shards)
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
-                context, w = rank[g["context"]], g["v"][g["tail"]]
-                third = np.lexsort((w, context))
-                context, w, n3 = context[third], w[third].astype("<u4" if width < 1 << 32 else "<u8"), n3[third]
-                kids = np.bincount(context, minlength=len(order)).astype("<u4")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
+                # trigrams by the rank of their context, then by their word
+                three, _, n3 = counted((rank[two[at - 1]] * width + g["v"][two[at]]).astype(_U), len(order) * width)
+                context, w = np.divmod(three, _U(width))
+                kids = np.bincount(context.astype(np.int64), minlength=len(order)).astype("<u4")
+                w = w.astype("<u4" if width < 1 << 32 else "<u8")
                 kid_ends = K.row_starts(kids)[ends]
                 used, packed = [], []
                 for k in range(shards):
                     a, b, c, d = ends[k], ends[k + 1], kid_ends[k], kid_ends[k + 1]
                     if a < b:
-                        codes = g["codes"][order[a:b]]
                         used.append(k)
-                        packed.append(_pack(np.diff(codes, prepend=_U(0)), n2[order[a:b]], kids[a:b], w[c:d], n3[c:d]))
+                        packed.append(_pack(np.diff(codes[order[a:b]], prepend=_U(0)), n2[order[a:b]], kids[a:b], w[c:d], n3[c:d]))
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(packed, pa.binary())], ["k", "packed"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,17 +339,13 @@ def train(docs: DataFrame, cutoff: int = 2) -> dict:
         for k, raws in own.items():
             parts = [_unpack(raw) for raw in raws]
             codes = [np.cumsum(p[0]) for p in parts]
-            every, index = np.unique(np.concatenate(codes), return_inverse=True)
+            every, index = K.distinct_in_order(np.concatenate(codes), width * width)
             n2 = np.bincount(index, np.concatenate([p[1] for p in parts]).astype(np.float64), minlength=len(every)).astype(np.int64)
             owner = np.repeat(index, np.concatenate([p[2] for p in parts]))
             w, n3 = np.concatenate([p[3] for p in parts]).astype(np.int64), np.concatenate([p[4] for p in parts]).astype(np.int64)
             del parts, codes, index
-            order = np.lexsort((w, owner))
-            owner, w, n3 = owner[order], w[order], n3[order]
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (w[1:] != w[:-1])
-            first = np.flatnonzero(new)
-            owner, w, n3 = owner[first], w[first], np.add.reduceat(n3, first) if len(first) else n3
+            three, _, n3 = counted((owner * width + w).astype(_U), max(len(every), 1) * width, n3)
+            owner, w = (x.astype(np.int64) for x in np.divmod(three, _U(width)))
             keep = n3 >= cutoff
             EF.save(f"{folder}/{k}.two", every, width * width)
             put(f"{folder}/{k}.counts", _pack(n2, owner[keep], w[keep], n3[keep]))
@@ -402,11 +412,16 @@ def train(docs: DataFrame, cutoff: int = 2) -> dict:
                 put_array(f"{folder}/{k}.p2.npy", quantise((n2 - d2) / np.maximum(c1, 1)))
                 kept = np.bincount(owner, n3 - d3, minlength=len(n2))
                 put_array(f"{folder}/{k}.g3.npy", quantise(np.maximum(1 - kept / n2, 0)))
-                _, place, rel = trie.locate((v[owner] * width + w).astype(_U))
+                tails, back = K.distinct_in_order((v[owner] * width + w).astype(_U), width * width)
+                _, place, rel, *_ = trie.locate(tails, leaves=False)
                 if (place < 0).any():
                     raise LookupError("a trigram's last bigram is missing: the input changed between two passes")
-                order = np.lexsort((rel, owner))
+                rel = rel[back]
+                del tails, back, place, codes, u, v
+                top = int(rel.max(initial=0)) + 1
+                both, order = K.in_order((owner * top + rel).astype(_U), max(len(n2), 1) * top)
                 owner, rel, n3 = owner[order], rel[order], n3[order]
+                del both, order
                 room = np.zeros(len(n2), np.int64)
                 np.maximum.at(room, owner, rel + 1)
                 base = K.row_starts(room)
@@ -458,25 +473,22 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 spare = model["d1"] * size / n / (size + 1) if n else 1.0
                 p1 = np.where(c > 0, np.maximum(c - model["d1"], 0) / max(n, 1), 0) + spare
                 # a bigram: its own probability and the mass that its first word leaves
-                first_word = np.zeros(len(g["codes"]), np.int64)
-                first_word[g["two"][::-1]] = g["index"][::-1]
-                shard, place, rel = trie.locate(g["codes"])
-                has = np.flatnonzero(place >= 0)
-                p2 = np.zeros(len(g["codes"]))
-                p2[has] = trie.gather("p2", shard[has], place[has])
+                two, at = g["two"], g["at"]
+                last_word = np.zeros(len(g["codes"]), np.int64)
+                last_word[two] = g["index"]
+                shard, place, rel, p2, left = trie.locate(g["codes"])
                 leaves = np.ones(len(g["codes"]))
                 known = np.flatnonzero(g["u"] <= size)
                 if n:
                     leaves[known] = dequantise(word_facts(model["folder"], g["u"][known], True)[1])
-                p2 += leaves * p1[first_word]
-                left = np.ones(len(g["codes"]))
-                left[has] = trie.gather("g3", shard[has], place[has])
+                p2 += leaves * p1[last_word]
                 # a trigram: the child of its context, and the mass that the context leaves
-                context, tail = g["context"], g["tail"]
+                p = p2[two]
+                context, tail = two[at - 1], two[at]
                 p3 = left[context] * p2[tail]
                 look = np.flatnonzero((left[context] < 1) & (place[tail] >= 0))
                 p3[look] += trie.children(shard[context[look]], place[context[look]], rel[tail[look]])
-                p = np.where(g["tri"] >= 0, p3[g["tri"]] if len(p3) else 0.0, p2[g["two"]])
+                p[at] = p3
                 row = np.repeat(np.arange(len(g["counts"])), g["counts"])
                 total = lambda x: np.bincount(row, x, minlength=len(g["counts"]))
                 yield pa.RecordBatch.from_arrays(

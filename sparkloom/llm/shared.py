@@ -133,6 +133,6 @@ def put_array(uri: str, array: np.ndarray) -> None:
 def get_array(uri: str) -> np.ndarray:
     """An array file: memory-mapped from a mounted path, otherwise read."""
     if path := _local(uri):
-        array = np.load(path, mmap_mode="r")
+        array = np.load(path, mmap_mode="r").view(np.ndarray)
         return array if array.size else np.zeros(array.shape, array.dtype)
     return np.load(io.BytesIO(get(uri)))

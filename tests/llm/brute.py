@@ -13,7 +13,7 @@ def words(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
 
 
-def language_model(train: list[str | None], cutoff: int = 2):
+def language_model(train: list[str | None], cutoff: int = 1):
     """Returns a function from text to (n_tokens, n_known, base, score) by interpolated absolute discounting of order 3."""
     one, two, three = Counter(), Counter(), Counter()
     for t in train:

@@ -128,10 +128,11 @@ def test_token_chunks_of_another_kind_of_tokenizer_go_whole():
     assert chunks.whole and [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_language_model_equals_a_plain_one(docs, none):
+@pytest.mark.parametrize("cutoff", [1, 2])
+def test_language_model_equals_a_plain_one(docs, none, cutoff):
     keep = [(i, t) for i, t in rows_() if i is not None and i % 3]
-    score, n = brute.language_model([t for _, t in keep])
-    model = lm.train(docs.filter("doc_id % 3 <> 0"))
+    score, n = brute.language_model([t for _, t in keep], cutoff)
+    model = lm.train(docs.filter("doc_id % 3 <> 0"), cutoff)
     got = lm.score(docs, model).collect()
     assert len(got) == len(rows_())
     by_text = {(r.doc_id, r.text): r for r in got}

@@ -1,8 +1,9 @@
 """Elias-Fano sequences as arrays that can be memory-mapped.
 
 A sequence of n non-decreasing values below u keeps the low ``log2(u/n)`` bits of each value packed, and the high parts in unary: bit ``high + index`` is
-set for each value. Directories count the ones and zeros before each 64-bit word. ``access`` finds the i-th one; ``find`` and
-``successor`` jump to the zero that opens a value's high part and compare low bits from there. All work on arrays of queries.
+set for each value. A directory counts the ones before each 64-bit word: with it ``access`` finds the i-th one. Another says how many values stand before each
+high part, in full for every 64th and as a byte more for the others (two or four where runs are long): with it ``successor`` jumps to the
+values of a high part and compares low bits from there. All work on arrays of queries.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import numpy as np
 
 from .shared import get_array, put_array
 
-_PARTS = ("head", "low", "high", "ones", "zeros")
+_PARTS = ("head", "low", "high", "ones", "base", "more")
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -29,10 +30,15 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     high = np.packbits(flags, bitorder="little").view("<u8")
     ones = np.zeros(len(high) + 1, np.uint32)
     np.cumsum(np.bitwise_count(high), out=ones[1:])
-    zeros = (np.arange(len(ones), dtype=np.int64) * 64 - ones).astype(np.uint32)
-    whole = np.zeros(-(-len(low) // 8) * 8 + 8, np.uint8)
+    buckets = np.zeros(-(-((int(universe) >> bits) + 3) // 64) * 64, np.uint32)
+    np.cumsum(np.bincount(top, minlength=len(buckets) - 1)[: len(buckets) - 1], out=buckets[1:])
+    base = buckets[::64].copy()
+    more = buckets - np.repeat(base, 64)
+    most = int(more.max(initial=0))
+    more = more.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+    whole = np.zeros(-(-len(low) // 8) * 8 + 16, np.uint8)
     whole[: len(low)] = low
-    return {"head": np.array([n, bits, universe], np.int64), "low": whole.view("<u8"), "high": high, "ones": ones, "zeros": zeros}
+    return {"head": np.array([n, bits, universe], np.int64), "low": whole.view("<u8"), "high": high, "ones": ones, "base": base, "more": more}
 
 
 def _select(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -55,7 +61,7 @@ class Sequence:
         self.n, self.bits, self.universe = (int(x) for x in parts["head"])
         self.low, self.high, self.ones = parts["low"], parts["high"], parts["ones"]
         self.mask = np.uint64((1 << self.bits) - 1)
-        self.zeros = parts["zeros"]
+        self.base, self.more = parts["base"], parts["more"]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -79,42 +85,37 @@ class Sequence:
         """Index of the first value that is x or more (n if none), and whether it is x."""
         top = (x >> np.uint64(self.bits)).astype(np.int64)
         want = x & self.mask
-        zero = np.maximum(top - 1, 0)
-        word = np.searchsorted(self.zeros, zero.astype(np.uint32), "right") - 1
-        at = np.where(top > 0, word * 64 + _select(~self.high[word], zero - self.zeros[word]) + 1, 0)
-        i = at - top  # ones before this place
-        hit = np.zeros(len(x), bool)
-        open_ = np.arange(len(x))
-        for step in range(64):
+        i, end = self._before(top), self._before(top + 1)
+        inside = i < end
+        low = self._low(i)
+        hit = inside & (low == want)
+        open_ = np.flatnonzero(inside & (low < want))
+        for _ in range(8):
             # runs of values with one high part are short; a longer one is halved below
-            here = at[open_]
-            inside = (self.high[here >> 6] >> (here & 63).astype(np.uint64)) & np.uint64(1) == 1
-            open_ = open_[inside]
             if not len(open_):
                 return i, hit
+            i[open_] += 1
+            open_ = open_[i[open_] < end[open_]]
             low = self._low(i[open_])
             hit[open_] = low == want[open_]
             open_ = open_[low < want[open_]]
-            if not len(open_):
-                return i, hit
-            i[open_] += 1
-            at[open_] += 1
-            if step == 8:
-                break
-        # the end of the run is where the next zero stands
-        word = np.searchsorted(self.zeros, top[open_].astype(np.uint32), "right") - 1
-        end = word * 64 + _select(~self.high[word], top[open_] - self.zeros[word]) - top[open_]
-        a, b = i[open_], end.copy()
+        if not len(open_):
+            return i, hit
+        a, b, last = i[open_], end[open_], end[open_]
         while (a < b).any():
             mid = (a + b) >> 1
-            less = (a < b) & (self._low(np.minimum(mid, max(self.n - 1, 0))) < want[open_])
+            less = (a < b) & (self._low(mid) < want[open_])
             b = np.where((a < b) & ~less, mid, b)
             a = np.where(less, mid + 1, a)
         i[open_] = a
-        inside = a < end
+        inside = a < last
         hit[open_[inside]] = self._low(a[inside]) == want[open_[inside]]
         return i, hit
 
+    def _before(self, top: np.ndarray) -> np.ndarray:
+        """Values of lesser high parts."""
+        return self.base[top >> 6].astype(np.int64) + self.more[top]
+
 
 def save(uri: str, values: np.ndarray, universe: int) -> None:
     for name, array in encode(values, universe).items():

@@ -1,7 +1,7 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Order 3, interpolated absolute discounting. Level 1 is the vocabulary; level 2 holds the bigrams u v, level 3 their children w. Levels 2 and 3 lie in shards by a
-hash of u v, so a word that a third of all n-grams share is spread over all shards. In a shard
+hash of u, or of u v for the frequent u, so a word that a third of all n-grams share is spread over all shards. In a shard
 
 * level 2 is one Elias-Fano sequence of the codes ``u * (V + 2) + v``, with a quantised probability and a quantised back-off mass for each entry;
 * level 3 is one Elias-Fano sequence, in which the children of entry c take values from ``base[c]`` on. ``base`` is monotone and an Elias-Fano
@@ -36,6 +36,8 @@ from .shared import cut, get, get_array, new_folder, others, put, put_array, rem
 #: Text of a slice when n-grams are counted.
 COUNT_SLICE = 6 << 20
 SCALE = 7000
+#: Words that occur so often or more are frequent: a shard holds at most twice as many successors of any other word.
+FREQUENT = 1 << 12
 #: Parts of shards that a worker holds mapped at once.
 KEEP_FILES = 6000
 END = 0  # a hash that stands for the end token
@@ -121,8 +123,8 @@ def _classes(counts: np.ndarray) -> np.ndarray:
     return 63 - np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
-def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, tuple[int, int], int]:
-    """Counts the training tokens; returns the vocabulary, how many words occur once and twice, and the number of texts."""
+def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, tuple[int, int], int, int]:
+    """Counts the training tokens; returns the vocabulary, how many words occur once and twice, the number of texts, and how many words are frequent."""
     spark, shards, folder = docs.sparkSession, shards_for(docs), new_folder(docs.sparkSession, "vocabulary")
     shift = _U(64 - shards.bit_length() + 1)
 
@@ -178,7 +180,7 @@ def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, tuple[int, int], int]
     rows_set = set(rows)
     spark.range(shards).repartition(shards, "id").mapInArrow(number, "id long").count()
     size, total = int(flat.sum()), sum(r.total for r in rows.values())
-    return Vocabulary(folder, shards, size, total), (sum(r.once for r in rows.values()), sum(r.twice for r in rows.values())), sum(r.texts for r in rows.values())
+    return Vocabulary(folder, shards, size, total), (sum(r.once for r in rows.values()), sum(r.twice for r in rows.values())), sum(r.texts for r in rows.values()), int(by_class[:, : _classes(np.array([FREQUENT]))[0] + 1].sum())
 
 
 def _discount(once: int, twice: int) -> float:
@@ -206,9 +208,12 @@ def _grams(column: pa.Array, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     return {"counts": counts, "found_counts": n, "index": index, "codes": codes, "u": u, "v": v, "two": two, "at": np.flatnonzero(inner)}
 
 
-def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
-    """``shards`` is a power of two."""
-    return (K.mix(codes.copy()) & _U(shards - 1)).astype(np.int64)
+def _shard(codes: np.ndarray, facts: dict) -> np.ndarray:
+    """Shards of bigrams: by the first word, whose successors then lie together; for the frequent words, which have the least ids, by both."""
+    width = _U(facts["width"])
+    head = codes // width
+    by_both = (head < _U(facts["frequent"])) | (head == width - _U(2))
+    return (K.mix(np.where(by_both, codes, head * width)) & _U(facts["shards"] - 1)).astype(np.int64)
 
 
 def _by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +250,7 @@ class Trie:
     def locate(self, codes: np.ndarray, leaves: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of ascending bigrams the shard, the place (-1: absent), the context-relative id as a successor of the first word; with ``leaves`` also the
         probability (absent: 0) and the mass left to shorter contexts (absent: 1)."""
-        shard, place, rel = _shard(codes, self.shards), np.full(len(codes), -1, np.int64), np.zeros(len(codes), np.int64)
+        shard, place, rel = _shard(codes, self.__dict__), np.full(len(codes), -1, np.int64), np.zeros(len(codes), np.int64)
         p2, g3 = np.full(len(codes), 65535, np.uint16), np.zeros(len(codes), np.uint16)
         order, edges = _by_shard(shard, self.shards)
         width = _U(self.width)
@@ -288,6 +293,17 @@ class Trie:
         return dequantise(out)
 
 
+_models: dict[str, tuple[Trie, Vocabulary]] = {}
+
+
+def opened(model: dict) -> tuple[Trie, Vocabulary]:
+    """The model's levels and words, which a worker keeps mapped from task to task."""
+    if model["folder"] not in _models:
+        _models.clear()
+        _models[model["folder"]] = Trie(model), Vocabulary(*model["names"])
+    return _models[model["folder"]]
+
+
 def counted(values: np.ndarray, bound: int, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values below ``bound`` in ascending order, where each begins among the ordered ones, and their numbers or the sums of their weights."""
     ordered, order = K.in_order(values, bound)
@@ -303,9 +319,11 @@ def train(docs: DataFrame, cutoff: int = 1) -> dict:
     """Trains on the texts of ``docs``; returns what :class:`Trie` and :class:`Vocabulary` are opened with."""
     spark = docs.sparkSession
     docs = spread(docs.select("text"))
-    vocabulary, ones, texts = build_vocabulary(docs)
+    vocabulary, ones, texts, frequent = build_vocabulary(docs)
     shards, folder, width = shards_for(docs, 4 << 20, 32), new_folder(spark, "trie"), vocabulary.size + 2
     names = (vocabulary.folder, shards_for(docs), vocabulary.size, vocabulary.total)
+    # the start of a text has the id after the last word's and is as frequent as the texts; its successors are dealt by themselves
+    facts = {"folder": folder, "shards": shards, "width": width, "frequent": frequent, "texts": texts, "names": names, "pieces": max(1, -(-width // PIECE))}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Vocabulary(*names)
@@ -314,7 +332,7 @@ def train(docs: DataFrame, cutoff: int = 1) -> dict:
                 g = _grams(part.column("text"), own)
                 two, at, codes = g["two"], g["at"], g["codes"]
                 n2 = np.bincount(two, minlength=len(codes)).astype("<u4")
-                order, ends = _by_shard(_shard(codes, shards), shards)
+                order, ends = _by_shard(_shard(codes, facts), shards)
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
                 # trigrams by the rank of their context, then by their word
@@ -361,7 +379,7 @@ def train(docs: DataFrame, cutoff: int = 1) -> dict:
     rows = made.filter("k is not null").select("k", "stats").collect()
     once2, twice2, once3, twice3 = (sum(r.stats[i] for r in rows) for i in range(4)) if rows else (0, 0, 0, 0)
     d1, d2, d3 = _discount(*ones), _discount(once2, twice2), _discount(once3, twice3)
-    facts = {"folder": folder, "shards": shards, "width": width, "d1": d1, "d2": d2, "d3": d3, "texts": texts, "names": names, "pieces": max(1, -(-width // PIECE))}
+    facts |= {"d1": d1, "d2": d2, "d3": d3}
     have = {r.k for r in rows}
 
     # counts of words as contexts, and their distinct followers, by id
@@ -463,7 +481,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     schema = rest.select("*", zero.alias("n_tokens"), zero.alias("n_known"), zero.alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, vocabulary = Trie(model), Vocabulary(*model["names"])
+        trie, vocabulary = opened(model)
         n, size = vocabulary.total, vocabulary.size
         for batch in batches:
             for part in K.slices(batch, text):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 EARLIEST = 1995
 #: Forms of free-text dates, tried in order after a leading weekday has gone.
 FORMS = ["yyyy-MM-dd", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "M/d/yyyy", "yyyy/MM/dd", "yyyyMMdd"]
+# Fixed value: dates printed in a text.
 BODY_DATE = r"(?i)\b(\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{4}|\d{4}-\d{2}-\d{2})\b"
 
 

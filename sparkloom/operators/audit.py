@@ -10,9 +10,10 @@ from ..functions.urls import canonical_url, depth
 # Paths where feeds and sitemaps usually lie, and titles that are a site's furniture.
 FEED_PATHS = ["/feed", "/feed/", "/rss", "/rss.xml", "/feed.xml", "/atom.xml", "/index.xml", "/news/feed", "/news/rss", "/blog/feed", "/feeds/posts/default"]
 SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml"]
-FURNITURE = (
-    "read,read more,more,about us,about,home,contact,contact us,skip to main content,menu,search,log in,login,join,subscribe,next,previous,view all,sign up,cookies,privacy"
-).split(",")
+FURNITURE = [
+    "read", "read more", "more", "about us", "about", "home", "contact", "contact us", "skip to main content", "menu", "search", "log in", "login",
+    "join", "subscribe", "next", "previous", "view all", "sign up", "cookies", "privacy",
+]
 
 FEW, MANY, SHORT_TITLE, DEPTHS = 3, 250, 9, 3
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsons import valid_only
 from ..functions.text import collapsed, occurrences
+from ..plans.cuts import cut
 
 # The axes on which items are tagged, and the words that suggest a topic.
 CONTENT_TYPES = ["news", "advice", "research", "policy", "enforcement", "review", "campaign", "blog", "event"]
@@ -105,7 +106,8 @@ def model_replies(work: DataFrame, ask: Callable[[list[dict]], list[dict]], keyw
                     yield pd.DataFrame([{"id": i, "content_type": None, "topics": [], "evidence": None, "confidence": None, "failed": True} for i in rows["id"]])
 
     schema = "id long, content_type string, topics array<string>, evidence string, confidence double, failed boolean"
-    got = work.select("id", "title", "body_text", "target_name").mapInPandas(run, schema)
+    # both uses below read what was written: the service is asked once, and no batch counts as answered in one and as failed in the other
+    got = cut(work.select("id", "title", "body_text", "target_name").mapInPandas(run, schema), "replies")
     fine = checked(got.filter("NOT failed"))
     return with_default(work, fine.unionByName(offline(work.join(got.filter("failed").select("id"), "id", "left_semi"), keywords)))
 

@@ -107,7 +107,7 @@ def near_duplicates(survivors: DataFrame, recent: DataFrame | None = None) -> Da
 
 def mark(items: DataFrame, duplicates: DataFrame, reason: str) -> DataFrame:
     """Items with the duplicates' status, target and reason."""
-    joined = items.drop("duplicate_of").join(duplicates.select("id", F.col("duplicate_of").alias("_of")), "id", "left").join(items.select("id", "duplicate_of"), "id")
+    joined = items.join(duplicates.select("id", F.col("duplicate_of").alias("_of")), "id", "left")
     hit = F.col("_of").isNotNull()
     out = joined.withColumn("duplicate_of", F.coalesce("_of", "duplicate_of")).withColumn("status", F.when(hit, F.lit("duplicate")).otherwise(F.col("status")))
     return out.withColumn("error", F.when(hit, F.lit(reason)).otherwise(F.col("error"))).select(*items.columns)

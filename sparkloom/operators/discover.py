@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import canonical_url
@@ -36,7 +36,7 @@ def known_candidates(candidates: DataFrame, held: DataFrame) -> DataFrame:
     return keyed(candidates).join(held.select("canonical_url"), "canonical_url", "left_semi")
 
 
-def numbered(rows: DataFrame, order: list[str], top: int) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str | Column], top: int) -> DataFrame:
     """``rows`` with ``id``: numbers after ``top`` in that order.
 
     Ranges of the order are numbered apart and shifted by the sizes of the ranges before; only the sizes, one a range, meet in one task.
@@ -74,11 +74,13 @@ def touch(items: DataFrame, seen: DataFrame, now: datetime) -> DataFrame:
     return out.select(*items.columns)
 
 
-def target_log(candidates: DataFrame, fresh: DataFrame, run_id: int) -> DataFrame:
-    """Found and new candidates of each target; a target that found nothing counts as failed."""
+def target_log(candidates: DataFrame, fresh: DataFrame, run_id: int, targets: DataFrame | None = None) -> DataFrame:
+    """Found and new candidates of each of ``targets(source_id, target)``; one that found nothing counts as failed. Without ``targets`` the candidates' own count."""
     found = candidates.groupBy("source_id", "target").agg(F.count(F.lit(1)).alias("found"))
     new = fresh.groupBy("source_id", "target").agg(F.count(F.lit(1)).alias("new_items"))
-    joined = found.join(new, ["source_id", "target"], "left").na.fill(0, ["new_items"])
+    if targets is not None:
+        found = targets.select("source_id", "target").distinct().join(found, ["source_id", "target"], "left")
+    joined = found.join(new, ["source_id", "target"], "left").na.fill(0, ["found", "new_items"])
     return joined.select(F.lit(run_id).cast("long").alias("run_id"), "*", (F.col("found") > 0).alias("ok"))
 
 

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.text import CARD, search_text, summary
 
 # The columns of an exported item. The text is not among them.
-COLUMNS = (
-    "id source_id org country region url title summary published_at date_source first_seen updated_at word_count media_type language content_type topics evidence confidence pub_content_type needs_review"
-).split()
+COLUMNS = [
+    "id", "source_id", "org", "country", "region", "url", "title", "summary", "published_at", "date_source", "first_seen", "updated_at", "word_count", "media_type", "language",
+    "content_type", "topics", "evidence", "confidence", "pub_content_type", "needs_review",
+]
 RUNS = 26
 
 
 def exported(items: DataFrame) -> DataFrame:
-    """Classified items as cards, newest first."""
+    """Classified items as cards; :func:`write` puts the newest first."""
     rows = items.filter("status = 'classified'").select(*COLUMNS)
     rows = rows.withColumn("topics", F.coalesce("topics", F.array().cast("array<string>"))).withColumn("summary", summary(F.col("summary"), CARD))
-    return rows.withColumn("search", search_text(F.col("title"), F.col("summary"))).orderBy(F.col("published_at").desc(), F.col("id").desc())
+    return rows.withColumn("search", search_text(F.col("title"), F.col("summary")))
 
 
 def sources(items: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def runs(runs_: DataFrame, source_runs: DataFrame, last: int = RUNS) -> DataFram
 
 def write(items: DataFrame, runs_: DataFrame, source_runs: DataFrame, folder: str) -> None:
     """Three JSON tables in a folder."""
-    exported(items).write.mode("overwrite").json(f"{folder}/items")
+    exported(items).orderBy(F.col("published_at").desc(), F.col("id").desc()).write.mode("overwrite").json(f"{folder}/items")
     sources(items).write.mode("overwrite").json(f"{folder}/sources")
     runs(runs_, source_runs).write.mode("overwrite").json(f"{folder}/runs")
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import since, week
 from ..functions.jsons import any_of
 from ..functions.text import occurrences
+from ..plans.cuts import cut
+from .discover import numbered
 
 # The saved filters.
 LENSES: dict[str, dict[str, Any]] = {
@@ -22,6 +24,8 @@ LENSES: dict[str, dict[str, Any]] = {
     "review_queue": {"needs_review": True},
 }
 TITLE_WEIGHT, BODY_CAP = 12, 6
+#: So many weeks, two centuries, are broadcast; more are joined.
+WEEKS = 10_000
 
 
 def terms_of(query: str) -> list[str]:
@@ -63,7 +67,11 @@ def filtered(
         keep = keep & any_of(F.col("topics"), f["topics"])
     if f.get("days"):
         keep = keep & since(F.col("first_seen"), f["days"], as_of)
-    return items.filter(keep).withColumn("score", score(terms_of(query))).filter("score > 0")
+    terms = terms_of(query)
+    if not terms:
+        return items.filter(keep).withColumn("score", score(terms))
+    # generated, not filtered: a filter on the score would be pushed below what makes title and search text, and make them anew for each term
+    return items.filter(keep).withColumn("score", F.explode(F.filter(F.array(score(terms)), lambda s: s > 0)))
 
 
 def ranked(found: DataFrame) -> DataFrame:
@@ -71,10 +79,19 @@ def ranked(found: DataFrame) -> DataFrame:
     return found.orderBy(F.col("score").desc(), F.col("published_at").desc(), F.col("id").desc())
 
 
+def numbered_ranks(found: DataFrame) -> DataFrame:
+    """All hits with ``rank`` from 1, in the order of :func:`ranked`; ranges of the order are numbered apart, so no task sorts them all."""
+    order = [F.col("score").desc(), F.col("published_at").desc(), F.col("id").desc()]
+    rows = numbered(found.withColumn("_own", F.col("id")), order, 0)
+    return rows.withColumn("rank", F.col("id").cast("long")).withColumn("id", F.col("_own")).drop("_own")
+
+
 def by_week(found: DataFrame, items: DataFrame) -> DataFrame:
     """Found items with their week, its number of items, and whether it is the newest of all items' weeks; newest week first."""
-    rows = found.withColumn("week", week(F.to_date("first_seen")))
-    counts = rows.groupBy("week").agg(F.count(F.lit(1)).alias("n_week"))
+    rows = cut(found.withColumn("week", week(F.to_date("first_seen"))), "found")
+    counts = cut(rows.groupBy("week").agg(F.count(F.lit(1)).alias("n_week")), "weeks")
+    if counts.count() <= WEEKS:
+        counts = F.broadcast(counts)
     newest = items.agg(week(F.max(F.to_date("first_seen"))).alias("newest"))  # one row
     out = rows.join(counts, "week").crossJoin(F.broadcast(newest)).withColumn("is_latest", F.col("week") == F.col("newest")).drop("newest")
     return out.orderBy(F.col("week").desc(), F.col("score").desc(), F.col("published_at").desc(), F.col("id").desc())

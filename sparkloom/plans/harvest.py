@@ -70,18 +70,19 @@ def run(
     again: bool = False,
     offline: bool = True,
     ask=None,  # noqa: ANN001
+    targets: DataFrame | None = None,
 ) -> tuple[State, DataFrame, DataFrame]:
     """A whole run: the new state, its row of ``runs`` and its rows of ``source_runs``.
 
     ``fetch`` turns discovered items into pages. A stage that fails ends the run; the state is then the last one written, and the row says why.
-    A run is fine if no stage and no target failed.
+    A run is fine if no stage and no target failed; of ``targets(source_id, target)`` one that found nothing failed.
     """
     classify.may_classify(again, ask is not None, offline)
     spark = candidates.sparkSession
     log, note = None, None
     try:
         fresh = discover.new_candidates(candidates, state.items)
-        log = cut(discover.target_log(candidates, fresh, run_id), "targets")
+        log = cut(discover.target_log(candidates, fresh, run_id, targets), "targets")
         state = discover_stage(state, candidates, now, run_id, refresh)
         state = extract_stage(state, fetch(state.items.filter("status = 'discovered'")), now, limit)
         state = dedupe_stage(state, now)

@@ -333,14 +333,11 @@ def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.exported(model.items(spark, sf_dir))
 
 
-@query(f"WITH {_FOUND} SELECT id, title, score, CAST(published_at AS VARCHAR) AS published_at, row_number() OVER (ORDER BY score DESC, published_at DESC, id DESC) AS rank FROM found WHERE score > 0 QUALIFY rank <= 100")
+@query(f"WITH {_FOUND} SELECT id, title, score, CAST(published_at AS VARCHAR) AS published_at, row_number() OVER (ORDER BY score DESC, published_at DESC, id DESC) AS rank FROM found WHERE score > 0")
 def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first hundred hits: a report of the best."""
-    top = search.ranked(search.filtered(_cards(spark, sf_dir), _QUERY, as_of=AS_OF)).limit(100).select("id", "title", "score", F.col("published_at").alias("_day"))
-    from pyspark.sql import Window
-
-    w = Window.orderBy(F.col("score").desc(), F.col("_day").desc(), F.col("id").desc())  # over a hundred rows
-    return top.select("id", "title", "score", F.col("_day").cast("string").alias("published_at"), F.row_number().over(w).cast("long").alias("rank"))
+    """All hits with their ranks."""
+    found = search.filtered(_cards(spark, sf_dir), _QUERY, as_of=AS_OF).select("id", "title", "score", "published_at")
+    return search.numbered_ranks(found).select("id", "title", "score", F.col("published_at").cast("string").alias("published_at"), "rank")
 
 
 @query(f"WITH {ITEMS} SELECT id FROM items WHERE seen >= DATE '{AS_OF}' - 7")
@@ -462,6 +459,19 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.links(model.pages(spark, sf_dir), "nav").select("page_url", "url")
 
 
+@query(
+    "WITH c AS (SELECT page_id, 's' || (page_id % 20) AS source_id, 't' || (page_id % 3) AS target FROM pages), t AS (SELECT DISTINCT source_id, target FROM c) "
+    "SELECT t.source_id, t.target, count(page_id) AS found, CAST(coalesce(sum(CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS new_items, count(page_id) > 0 AS ok "
+    "FROM t LEFT JOIN (SELECT * FROM c WHERE page_id % 20 NOT IN (3, 7)) f ON t.source_id = f.source_id AND t.target = f.target GROUP BY 1, 2"
+)
+def target_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of twenty sources, two of which find nothing and so fail."""
+    page = F.col("page_id")
+    every = model.pages(spark, sf_dir).select(page, F.concat(F.lit("s"), (page % 20).cast("string")).alias("source_id"), F.concat(F.lit("t"), (page % 3).cast("string")).alias("target"))
+    found = every.filter(~(page % 20).isin(3, 7))
+    return discover.target_log(found, found.filter(page % 2 == 0), 1, every).drop("run_id")
+
+
 @query(None)
 def find_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pages.find_date(pages.facts(model.pages(spark, sf_dir)), AS_OF)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.dates import BODY_DATE, sane, free_date
 from ..functions.urls import absolute, host, matches
 from ..operators.discover import first_of_each
+from . import selectors
 
 # Elements that are not an article's text, and where pages state their date.
 DROPPED = ["script", "style", "nav", "header", "footer", "aside"]
@@ -28,7 +29,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 class _Reader(HTMLParser):
     """Collects in one pass what the operators here ask of a page."""
 
-    def __init__(self, within: tuple[str, str] | None = None) -> None:
+    def __init__(self, within: str | None = None) -> None:
         super().__init__(convert_charrefs=True)
         self.texts: list[str] = []
         self.all_texts: list[str] = []
@@ -39,7 +40,8 @@ class _Reader(HTMLParser):
         self.metas: dict[tuple[str, str], str] = {}
         self.times: list[list] = []
         self.blobs: list[str] = []
-        self._within, self._open, self._dropped = within, [], 0
+        self._within, self._open, self._dropped = selectors.parse(within) if within else None, [], 0
+        self._path: list[selectors.Element] = []
         self._link: list | None = None
         self._time: list | None = None
         self._seen_title = False
@@ -58,11 +60,8 @@ class _Reader(HTMLParser):
             self.feeds.append(own["href"])
         if tag in _VOID:
             return
-        hit = False
-        if self._within:
-            kind, name = self._within
-            hit = name in own.get("class", "").split() if kind == "." else own.get("id") == name if kind == "#" else tag == name
-        self._open.append((tag, hit))
+        self._path.append((tag, own))
+        self._open.append((tag, self._within is not None and selectors.matches(self._path, self._within)))
         self._dropped += tag in DROPPED
         if tag == "a" and self._inside() and own.get("href"):
             self._link = [own["href"], []]
@@ -77,7 +76,7 @@ class _Reader(HTMLParser):
         for k in range(len(self._open) - 1, -1, -1):
             if self._open[k][0] == tag:
                 self._dropped -= sum(t in DROPPED for t, _ in self._open[k:])
-                del self._open[k:]
+                del self._open[k:], self._path[k:]
                 break
         if tag == "a":
             self._link = None
@@ -108,7 +107,7 @@ class _Reader(HTMLParser):
             self.texts.append(text)
 
 
-def _read(html: str | None, within: tuple[str, str] | None = None) -> _Reader:
+def _read(html: str | None, within: str | None = None) -> _Reader:
     reader = _Reader(within)
     reader.feed(html or "")
     reader.close()
@@ -162,17 +161,17 @@ def find_date(rows: DataFrame, as_of) -> DataFrame:  # noqa: ANN001
 def links(pages: DataFrame, selector: str | None = None, include: list[str] | None = None, exclude: list[str] | None = None, html: str = "html", url: str = "url") -> DataFrame:
     """Links of list pages: ``page_url, cand_ord, url, title``, on the page's own host, each address once (the first).
 
-    ``selector`` is ``tag``, ``.class`` or ``#id``: links inside such an element, or on it. Titles of eight characters or fewer are null.
+    ``selector`` is a CSS selector of what :mod:`.selectors` knows: links that match it, or stand inside what matches; one that is not understood is
+    an error. Titles of eight characters or fewer are null.
     """
-    within = None if not selector else (selector[0], selector[1:]) if selector[0] in ".#" else ("", selector)
-    if within == ("", "a"):
-        within = None
+    if selector:
+        selectors.parse(selector)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for page, raw in zip(frame["page_url"], frame["html"]):
-                for k, (href, words) in enumerate(_read(raw, within).links):
+                for k, (href, words) in enumerate(_read(raw, selector).links):
                     if not href.startswith(SKIPPED_LINKS):
                         title = " ".join(words)
                         rows.append((page, k, href, title if len(title) > 8 else None))

@@ -88,6 +88,14 @@ def test_exact_duplicates_see_failed_rows_too(spark):
     assert got[2] == ("duplicate", 1, "exact content match") and got[4] == ("extracted", None, None)
 
 
+def test_marking_keeps_repeated_ids_and_earlier_marks(spark):
+    have = items(spark, (1, {"status": "extracted"}), (1, {"status": "extracted"}), (2, {"status": "duplicate", "duplicate_of": 9, "error": "old"}), (3, {"status": "extracted"}))
+    found = spark.createDataFrame([(1, 7)], "id long, duplicate_of long")
+    got = sorted((r.id, r.status, r.duplicate_of, r.error) for r in dedupe.mark(have, found, "why").collect() if r.id < 3)
+    assert got == [(1, "duplicate", 7, "why")] * 2 + [(2, "duplicate", 9, "old")]
+    assert dedupe.mark(have, found, "why").count() == 4
+
+
 def test_revisions(spark):
     rev = spark.createDataFrame([(1, 1, "a", datetime(2026, 1, 1), 5), (2, 1, "b", datetime(2026, 1, 2), 5)], model.REVISIONS)
     flags = {r.id: r.updated for r in revisions.updated(items(spark, (1, {"content_hash": "a"}), (2, {"content_hash": "z"})), rev).collect()}
@@ -118,8 +126,14 @@ def test_model_replies_and_fallback(spark):
             raise RuntimeError("down")
         return [{"id": r["id"], "content_type": "news" if r["id"] != 2 else "odd", "topics": ["law", "zz", "law"], "evidence": "cited" if r["id"] != 3 else "zz", "confidence": 0.9} for r in rows if r["id"] != 4]
 
-    got = {r.id: r for r in classify.model_replies(work, ask).collect()}
-    assert len(got) == 23
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        calls.add(1)
+        return ask(rows)
+
+    got = {r.id: r for r in classify.model_replies(work, counting).collect()}
+    assert len(got) == 23 and calls.value == 3
     assert (got[1].topics, got[1].evidence, got[1].confidence) == (["law", "law"], "cited", 0.9)
     assert [(got[k].content_type, got[k].confidence) for k in (2, 4)] == [("news", 0.0)] * 2 and got[3].evidence is None
     assert (got[15].topics, got[15].confidence) == (["finance"], 0.4)
@@ -137,7 +151,7 @@ def test_publisher_labels_stay(spark):
 def test_export_has_no_text_and_follows_the_latest_org(spark, tmp_path):
     have = items(spark, (1, {"status": "classified", "org": "old", "published_at": date(2026, 1, 1), "summary": "s" * 400, "title": "T"}), (2, {"status": "classified", "org": "new", "published_at": date(2026, 2, 1)}), (3, {"status": "failed"}))
     out = export.exported(have)
-    assert "body_text" not in out.columns and [r.id for r in out.collect()] == [2, 1] and len(out.filter("id = 1").first().summary) == 240
+    assert "body_text" not in out.columns and {r.id for r in out.collect()} == {1, 2} and len(out.filter("id = 1").first().summary) == 240
     assert [tuple(r) for r in export.sources(have).select("org", "items").collect()] == [("new", 2)]
     runs = spark.createDataFrame([(k,) for k in range(1, 31)], "id long")
     log = spark.createDataFrame([(30, False), (30, False), (29, True)], "run_id long, ok boolean")
@@ -191,6 +205,56 @@ def test_links_and_declared_feeds(spark):
     assert [r.feed for r in pages.declared_feeds(df).collect()] == ["https://x.com/feed"]
 
 
+@pytest.mark.parametrize(
+    ("selector", "found"),
+    [
+        ('a[href*="/blogs/"]', {"/blogs/1", "/blogs/2"}),
+        (".listing a", {"/blogs/1", "/n/3"}),
+        ("div.listing > p > a", {"/blogs/1"}),
+        ("div.listing>a", {"/n/3"}),
+        ("#top a, nav a", {"/blogs/2", "/home/"}),
+        ("a[rel~=next][href^='/h']", {"/home/"}),
+        ("a[href$='3'], a:not(.x)", None),
+        ("div >", None),
+        ("*", {"/blogs/1", "/blogs/2", "/n/3", "/home/"}),
+    ],
+)
+def test_selectors(spark, selector, found):
+    html = (
+        "<nav><a rel='up next' href='/home/'>Home of all</a></nav><div id='top'><b><a href='/blogs/2'>Second</a></b></div>"
+        "<div class='x listing'><p><a class=x href='/blogs/1'>First<br>one</a></p><a href='/n/3'>Third</a></div>"
+    )
+    df = spark.createDataFrame([("https://x.com/l/", html)], "url string, html string")
+    if found is None:
+        with pytest.raises(ValueError):
+            pages.links(df, selector)
+    else:
+        assert {r.url.removeprefix("https://x.com") for r in pages.links(df, selector).collect()} == found
+
+
+def test_unreadable_pdf_files_have_no_text(spark):
+    rows = spark.createDataFrame([("a", b"no pdf"), ("b", None)], "url string, content binary")
+    assert {(r.url, r.text, r.title, r.n_pages) for r in fetch.pdf_texts(rows).collect()} == {("a", "", None, 0), ("b", "", None, 0)}
+
+
+def test_targets_without_candidates_fail(spark):
+    have = spark.createDataFrame([("s", "a"), ("s", "a")], "source_id string, target string")
+    every = spark.createDataFrame([("s", "a"), ("s", "b"), ("t", "a"), ("t", "a")], "source_id string, target string")
+    got = {(r.source_id, r.target): (r.found, r.new_items, r.ok) for r in discover.target_log(have, have.limit(1), 1, every).collect()}
+    assert got == {("s", "a"): (2, 1, True), ("s", "b"): (0, 0, False), ("t", "a"): (0, 0, False)}
+
+
+def test_search_prepares_each_text_once(spark):
+    from sparkloom.operators import export
+
+    have = items(spark, (1, {"status": "classified", "title": "bank fee", "summary": "the bank"}), (2, {"status": "classified", "title": "none"}))
+    found = search.filtered(export.exported(have), "bank fee loan", as_of=AS_OF)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 2
+    hits = search.numbered_ranks(search.filtered(export.exported(have), "bank", as_of=AS_OF)).collect()
+    assert [(r.id, r.rank) for r in hits] == [(1, 1)]
+
+
 def test_feeds_and_sitemaps(spark):
     rss = "<rss><channel><item><title>A &amp; b</title><link>https://x/a</link><pubDate>Wed, 19 Aug 2026 23:30:00 -0800</pubDate></item><item><title>none</title></item></channel></rss>"
     atom = "<feed><entry><title><![CDATA[C]]></title><link rel='alternate' href='https://x/c'/><updated>2026-08-01T00:00:00Z</updated><author><name>N</name></author></entry></feed>"
@@ -224,7 +288,8 @@ def test_fetching_is_polite():
     f = fetch.Fetcher(web.get, pause=2.0, sleep=waits.append, clock=lambda: now[0])
     assert f.fetch("https://a/no/1") is None and f.fetch("https://a/x")[2] == "body" and f.fetch("https://a/x")[2] == "body"
     assert f.fetch("https://b/big") is None and f.fetch("https://c/none") is None
-    assert waits == [2.0]
+    # the first page waits for robots.txt, every further request for the one before
+    assert waits == [2.0] * 4
 
 
 def test_fetch_all_over_hosts(spark):

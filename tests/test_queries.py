@@ -35,14 +35,15 @@ def test_entry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_the_rest_works_without_the_subpackage(tmp_path):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_the_rest_works_without_the_subpackage(tmp_path, pipeline):
     import shutil
     import subprocess
     import sys
     from pathlib import Path
 
     root = Path(__file__).resolve().parent.parent
-    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__"))
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", *([] if pipeline else ["corpus_pipeline.py"])))
     code = "import __spark_entry__ as e; n = e.queries(); assert 'canonical_urls' in n and not any(k.startswith('op') for k in n) and 'pipeline' not in n; assert set(e.oracle_sql()) <= set(n)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True, env={**os.environ, "PYTHONPATH": str(tmp_path / "r")})
 

@@ -101,6 +101,11 @@ def candidates(rows: DataFrame, target: dict[str, Any], as_of: date) -> DataFram
     return first_of_each(out.drop("row"), "url", ["page", "ord"])
 
 
+def dated(rows: DataFrame, target: dict[str, Any], as_of: date) -> DataFrame:
+    """``page, ord, published_at`` of ``page, ord, row``."""
+    return rows.select("page", "ord", api_date(dig(F.col("row"), target["date_field"]), as_of).alias("published_at"))
+
+
 def live(target: dict[str, Any], ask: Callable[[dict[str, Any]], tuple[int, str]], page: int) -> list[tuple[int, int, str]]:
     """A page's items over ``ask`` (request to status and text)."""
     return list(items_of(read_response(*ask(request_of(target, page))), target.get("items_path") or "", page))

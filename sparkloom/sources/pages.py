@@ -158,6 +158,14 @@ def find_date(rows: DataFrame, as_of) -> DataFrame:  # noqa: ANN001
     return rows.withColumn("_d", both).withColumn("page_date", F.col("_d.day")).withColumn("page_date_source", F.col("_d.source")).drop("_d", "d_jsonld", "d_meta", "d_time", "d_text")
 
 
+def listed(html: str | None, selector: str | None = None) -> Iterator[tuple[int, str, str | None]]:
+    """Place, address as written and title of a list page's links."""
+    for k, (href, words) in enumerate(_read(html, selector).links):
+        if not href.startswith(SKIPPED_LINKS):
+            title = " ".join(words)
+            yield k, href, title if len(title) > 8 else None
+
+
 def links(pages: DataFrame, selector: str | None = None, include: list[str] | None = None, exclude: list[str] | None = None, html: str = "html", url: str = "url") -> DataFrame:
     """Links of list pages: ``page_url, cand_ord, url, title``, on the page's own host, each address once (the first).
 
@@ -171,10 +179,7 @@ def links(pages: DataFrame, selector: str | None = None, include: list[str] | No
         for frame in frames:
             rows = []
             for page, raw in zip(frame["page_url"], frame["html"]):
-                for k, (href, words) in enumerate(_read(raw, selector).links):
-                    if not href.startswith(SKIPPED_LINKS):
-                        title = " ".join(words)
-                        rows.append((page, k, href, title if len(title) > 8 else None))
+                rows += [(page, *found) for found in listed(raw, selector)]
             yield pd.DataFrame(rows, columns=["page_url", "cand_ord", "href", "title"])
 
     rows = pages.select(F.col(url).alias("page_url"), F.col(html).alias("html")).mapInPandas(run, "page_url string, cand_ord int, href string, title string")

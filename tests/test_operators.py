@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 
 import pytest
@@ -237,6 +238,49 @@ def test_unreadable_pdf_files_have_no_text(spark):
     assert {(r.url, r.text, r.title, r.n_pages) for r in fetch.pdf_texts(rows).collect()} == {("a", "", None, 0), ("b", "", None, 0)}
 
 
+def test_discovery_from_the_catalogue(spark):
+    from sparkloom.sources import discovery
+
+    web = {
+        "https://x.org/feed": "<rss><channel><item><title>Bank fees are up</title><link>https://x.org/a</link><pubDate>Wed, 19 Aug 2026 10:00:00 +0000</pubDate></item></channel></rss>",
+        "https://x.org/list/": "<div class=listing><a href='/blogs/1'>First of the blogs</a><a href='/blogs/1'>again</a><a href='https://o.org/blogs/2'>off</a><a href='/blogs/no'>left out</a><a href='#'>x</a></div>",
+        "https://x.org/map.xml": "<sitemapindex><sitemap><loc>https://x.org/m1.xml</loc></sitemap><sitemap><loc>https://x.org/gone.xml</loc></sitemap></sitemapindex>",
+        "https://x.org/m1.xml": "<urlset><url><loc>https://x.org/en/p</loc><lastmod>2026-08-01</lastmod></url><url><loc>https://x.org/fr/p</loc></url></urlset>",
+    }
+    answers = {0: {"items": [{"u": "n/1", "d": "2026-08-20"}, {"u": "n/2", "d": "2026-08-10"}]}, 1: {"items": [{"u": "n/3", "d": "2026-01-01"}]}, 2: {"items": [{"u": "n/4", "d": "2026-08-20"}]}}
+    api_target = {"name": "api", "method": "json", "url": "https://x.org/api", "items_path": "items", "url_field": "u", "url_prefix": "https://x.org/", "date_field": "d", "page_param": "p", "pages": 3, "days_back": 30}
+    targets = [
+        {"name": "feed", "method": "rss", "url": "https://x.org/feed"},
+        {"name": "list", "method": "html", "url": "https://x.org/list/", "item_selector": 'a[href*="/blogs/"]', "exclude_patterns": ["/no"]},
+        {"name": "map", "method": "sitemap", "url": "https://x.org/map.xml", "include_patterns": ["/en/"]},
+        {"name": "down", "method": "rss", "url": "https://x.org/down"},
+        {"name": "odd", "method": "telex", "url": "https://x.org/telex"},
+        api_target,
+    ]
+    sources = [{"id": "x", "org": "X", "targets": targets}]
+    got, every = discovery.discover(
+        sources,
+        lambda u: (200, {"content-type": "text/html"}, web[u], u) if u in web else None,
+        date(2026, 8, 25),
+        lambda r: (200, json.dumps(answers[r["params"]["p"]])),
+        spark=spark,
+        pause=0,
+    )
+    rows = {(r.target, r.url.removeprefix("https://x.org/"), str(r.published_at), r.title) for r in got.collect()}
+    assert rows == {
+        ("feed", "a", "2026-08-19", "Bank fees are up"),
+        ("list", "blogs/1", "None", "First of the blogs"),
+        ("map", "en/p", "2026-08-01", None),
+        ("api", "n/1", "2026-08-20", None),
+        ("api", "n/2", "2026-08-10", None),
+        ("api", "n/3", "2026-01-01", None),
+    }
+    log = discover.target_log(got, discover.new_candidates(got, got.limit(0).withColumn("canonical_url", got.url)), 1, every)
+    assert {r.target: r.ok for r in log.collect()} == {"feed": True, "list": True, "map": True, "api": True, "down": False, "odd": False}
+    with pytest.raises(ValueError):
+        discovery.discover([{"id": "x", "org": "X", "targets": [{"name": "l", "method": "html", "url": "u", "item_selector": "a:hover"}]}], web.get, AS_OF, spark=spark)
+
+
 def test_targets_without_candidates_fail(spark):
     have = spark.createDataFrame([("s", "a"), ("s", "a")], "source_id string, target string")
     every = spark.createDataFrame([("s", "a"), ("s", "b"), ("t", "a"), ("t", "a")], "source_id string, target string")

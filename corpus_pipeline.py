@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe, decontaminate, jaccard, line_dedup, toxicity
-from sparkloom.llm.shared import cut, new_folder
+from sparkloom.llm.shared import bounded_batches, cut, new_folder
 
 #: A document goes if its score is this or more.
 TOXIC = 0.7
@@ -19,6 +19,7 @@ PASSAGE, COVERAGE = 10, 0.5
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models reject go. The models learn from all labels of the documents at hand."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, "toxic")
     return toxicity.score(docs, model).filter(F.col("score") < TOXIC).select(*docs.columns)
@@ -34,6 +35,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similarity, the one with the smallest doc_id stays. Of rows equal in doc_id and text one stays. A document
     without doc_id goes by a hash of its text instead, of 2**62 or more, so that one with a doc_id stays before it."""
+    bounded_batches(spark)
     high = 1 << 62
     own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit(high - 1)).bitwiseOR(F.lit(high)))
     named = docs.withColumn("_own", own).withColumn("_text", F.xxhash64("text"))
@@ -49,12 +51,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of benchmark items go; a document that consists mostly of them goes whole."""
+    bounded_batches(spark)
     clean = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), PASSAGE, COVERAGE)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document: ``doc_id, n_tokens, ids``."""
+    bounded_batches(spark)
     import public_tokenizers
 
     return bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")

@@ -163,9 +163,20 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> tuple[str, int
     raise ValueError("eight seeds gave equal hashes to different words")
 
 
+def check_kind(path: str, decoded: bool) -> None:
+    """Raises unless the tokenizer drops white space and, to decode, its file names no decoder: only then do words stand for themselves."""
+    tokenizer = load_tokenizer(path)
+    ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    if ids(" Ab,\t\u00e9x \n\n 1b ") != [i for w in ("Ab,", "\u00e9x", "1b") for i in ids(w)]:
+        raise ValueError("tokens of this tokenizer hold white space: encode the texts whole")
+    if decoded and tokenizer.decoder is not None:
+        raise ValueError("this tokenizer has a decoder of its own")
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>``, and with ``decoded string`` if asked for: the pieces of the ids joined by one space, as the
     library decodes where the tokenizer's file names no decoder."""
+    check_kind(path, decoded)
     folder, shards, seed = word_table(docs, path, text)
     own = others(docs, "ids", "decoded")
     rest = docs.select(*own)

@@ -6,7 +6,7 @@ some item are walked, tracking state and longest matching length. Where the leng
 that holds the last ``n`` words occur in the document; an item of fewer than ``n`` words counts where it occurs whole.
 
 Nothing is shuffled but the items; documents stay in their partitions. Memory is one slice of documents and the automata of the blocks
-(at most ``KEEP_BLOCKS`` are held, further ones are read again for each batch).
+(at most ``KEEP_BLOCKS`` are held, further ones are read again for each slice).
 
 Defined results: null or wordless texts have no words and no hits; items without words or without item_id are no items; item_ids that repeat are
 one item if any of their texts occurs; repeated rows all stay; other columns pass through, but the operator's own columns replace those of their names.

@@ -3,7 +3,7 @@
 Tokens are runs of letters and digits (any byte beyond ASCII counts as a letter) and runs of punctuation, case kept; features are unigrams and bigrams, hashed
 to ``2**BITS`` places, and one more that all bigrams of equal words share. A text's vector holds its term frequencies, scaled to length one, so the length of a text does not matter.
 
-Training takes a bounded sample of the labelled rows (``max_rows``, the smallest by hash of doc_id): one task holds their features and makes
+Training takes a bounded sample of the labelled rows (``max_rows``, the smallest by hash of doc_id, of rows with one doc_id the least text, ``LONGEST`` characters at most): one task holds their features and makes
 per-coordinate FTRL-proximal updates, document by document. The weights (one float a place) go to the shared folder; scoring
 is a map over the documents without any shuffle: sparse dot products, vectorised over a slice.
 
@@ -28,6 +28,8 @@ BITS = 20
 #: Place of the feature that all bigrams of one word twice share.
 REPEAT = np.uint64(1)
 MAX_ROWS = 6000
+#: Characters of the longest text to learn from: with MAX_ROWS it bounds what meets in the task that trains. Every text is scored whole.
+LONGEST = 1 << 18
 
 #: 1: letters, digits and bytes beyond ASCII; 2: punctuation and control characters; 0: white space.
 CLASSES = np.full(256, 2, dtype=np.uint8)
@@ -103,7 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
         yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
 
     # at most max_rows rows of two numbers are broadcast, and their features meet in one task
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST)
+    found = found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id, so the bound holds; aggregated before the shuffle
     vectors_ = found.mapInArrow(vectors, "doc_id long, y int, at array<int>, x array<float>")
     if not vectors_.repartition(1).mapInArrow(fit, "n long").collect():  # no task ran: no rows
         put_array(uri, np.zeros((1 << BITS) + 1, np.float32))

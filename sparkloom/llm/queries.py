@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, html_render, jaccard, line_dedup, lm, quality, simhash, token_files, toxicity
 from .kernels import crc32_of_id
+from .shared import bounded_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held(mod: int, rest: int) -> Column:
+    """Whether a row is held out by its id; one without id is not."""
+    return F.coalesce(crc32_of_id() % mod == rest, F.lit(False))
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -21,15 +28,15 @@ def _vocabulary(name: str) -> str:
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = lm.score(docs, lm.train(docs.filter(crc32_of_id() % 7 != 2), cutoff=1))
-    return scored.select("doc_id", (crc32_of_id() % 7 == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scored = lm.score(docs, lm.train(docs.filter(~_held(7, 2)), cutoff=1))
+    return scored.select("doc_id", _held(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    learn = _table(spark, sf_dir, "labels").filter(crc32_of_id() % 3 != 1)
+    learn = _table(spark, sf_dir, "labels").filter(~_held(3, 1))
     scored = toxicity.score(docs, toxicity.train(docs, learn, "toxic"))
-    return scored.select("doc_id", (crc32_of_id() % 3 == 1).alias("held_out"), "score", quality.predicted(0.7))
+    return scored.select("doc_id", _held(3, 1).alias("held_out"), "score", quality.predicted(0.7))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +46,9 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    learn = _table(spark, sf_dir, "labels").filter(crc32_of_id() % 5 != 0)
+    learn = _table(spark, sf_dir, "labels").filter(~_held(5, 0))
     scored = quality.score(docs, quality.train(docs, learn, "quality"))
-    return scored.select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score", quality.predicted(0.3))
+    return scored.select("doc_id", _held(5, 0).alias("held_out"), "score", quality.predicted(0.3))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,34 +1,24 @@
 """The folder that all executors share, and files in it.
 
-``spark.checkpoint.dir`` names it. It is read from the session; only where it is unset (tests, local runs) a folder is made
-and set. Files go through pyarrow's file systems, so the folder may be local or remote; where it is a mounted path arrays are
+``spark.checkpoint.dir`` names it. It is read from the session; only where it is unset and all tasks run in this process (tests, local runs) a folder is
+made. Files go through pyarrow's file systems, so the folder may be local or remote; where it is a mounted path arrays are
 memory-mapped, elsewhere they are read. All file names follow from the content's place (shard), writes go to another name
 first and are renamed, so a task that runs twice leaves the same file.
 """
 
 from __future__ import annotations
 
-import atexit
 import io
 import os
 import re
-import shutil
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.cuts import cut, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder; one for this process is made and set where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="sparkloom-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-        found = f"file://{found}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+__all__ = ["bounded_batches", "cut", "get", "get_array", "new_folder", "others", "put", "put_array", "remove", "shards_for", "shared_dir", "size_hint", "spread"]
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
@@ -36,20 +26,17 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, kind: str = "cut") -> DataFrame:
-    """The same rows, written to the shared folder and read back: it ends the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_folder(spark, kind)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Bounds the rows of an Arrow batch for this session, unless it does so itself: texts are large. Queries and the pipeline's stages call it; operators
+    leave the session's settings alone."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(rows))
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Deals out a table that is read in fewer partitions than there are cores (a single small file); larger ones, and what a shuffle deals out
-    already, stay. Also bounds the rows of an Arrow batch, unless the session does: texts are large."""
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(rows, None) is None:
-        df.sparkSession.conf.set(rows, "2000")
+    already, stay."""
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df  # asking for its partitions would run the shuffle
     cores = df.sparkSession.sparkContext.defaultParallelism

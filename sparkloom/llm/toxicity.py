@@ -10,7 +10,7 @@ computed once and kept in a bounded table of the worker.
 The labelled sample makes the counts (a word counts once a document). Evidence becomes a probability by logistic regression on the
 logs of the normalised difference, the whole difference and the length; for that, each half of the sample is scored by a model of the other half, so
 the counts' own words cannot flatter it; a label's rows are dealt to both halves. Where a label has a single row the model of the whole sample scores it. The sample is bounded by ``max_rows``
-rows a label (the smallest by hash of doc_id); the share of the labels among all rows that may be learnt from corrects the intercept.
+rows a label (the smallest by hash of doc_id; of rows with one doc_id the least text) of ``LONGEST`` characters at most; the share of the labels among all rows that may be learnt from corrects the intercept.
 One task trains; the tables go to the shared folder. Scoring is a map over the documents, without any shuffle.
 
 Defined results: texts without words (null, empty) have evidence 0; without labels of both kinds every text scores 0; labels that repeat use the
@@ -34,6 +34,8 @@ from .shared import get, new_folder, put, spread
 ORDER = 6
 CLASS_FROM = 4
 MAX_ROWS = 3000
+#: Characters of the longest text to learn from: with MAX_ROWS it bounds what meets in the task that trains. Every text is scored whole.
+LONGEST = 1 << 18
 #: Share of a toxic text's words that the toxic model speaks.
 SHARE = 0.0025
 #: Words whose evidence a worker keeps at most; then it starts anew.
@@ -107,6 +109,7 @@ class Model:
             rows = np.concatenate([t[f"n{m}"], t[f"n{m}"][:1] > 0, np.minimum(t[f"n{m}"][1:], CLASS_DISCOUNT)])
             ctx, *sums = _sums(context, *rows)
             t[f"ctx{m}"], t[f"s{m}"] = ctx, np.stack(sums)
+            by_order[m - 1] = np.zeros(0, np.uint64)  # no longer n-gram asks for it
         return Model(t)
 
     def _find(self, kind: str, m: int, keys: np.ndarray, table: str) -> np.ndarray:
@@ -223,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
     chosen = usable.filter("y = 1").orderBy(*by_hash).limit(max_rows).union(usable.filter("y = 0").orderBy(*by_hash).limit(max_rows))
     prior = min(max((ones or 0) / n if n else 0.5, 1e-4), 1 - 1e-4)
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> int:
         rows = sorted((d, t or "", y) for b in batches for d, y, t in zip(*(c.to_pylist() for c in b.columns)))
         texts, y = pa.array([t for _, t, _ in rows], pa.string()), np.array([y for *_, y in rows], dtype=np.float64)
         if 0 < y.sum() < len(y):
@@ -242,11 +245,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_RO
             put(uri, model.dump())
         else:
             put(uri, b"")
-        K.give_back()
-        yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
+        return len(rows)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = learn(batches)
+        K.give_back()  # when nothing of the training is held any more
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     # at most 2 * max_rows ids are broadcast, and as many texts meet in one task
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST)
+    found = found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id, so the bound holds; aggregated before the shuffle
     if not found.repartition(1).mapInArrow(fit, "n long").collect():  # no task ran: no rows
         put(uri, b"")
     return uri

@@ -60,6 +60,11 @@ def test_bpe_equals_the_library(docs, none):
     assert bpe.encode(none, path).count() == 0
 
 
+def test_bpe_refuses_tokenizers_that_keep_white_space(docs):
+    with pytest.raises(ValueError, match="white space"):
+        bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_token_files_read_back(spark, docs, none):
     from tokenizers import Tokenizer
 
@@ -368,6 +373,26 @@ def test_classifiers_learn_and_define_odd_cases(spark, docs, none, module, label
     assert [r.score for r in blank] == [0.5 if module is quality else 0.0]
 
 
+@pytest.mark.parametrize(("module", "label"), [(quality, "quality"), (toxicity, "toxic")])
+def test_training_takes_one_row_an_id_and_the_order_of_rows_does_not_matter(spark, module, label):
+    rng = random.Random(9)
+    rows = [(k % 40, words_of(rng, 12) + (" zorg" if k % 2 else "")) for k in range(160)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], f"doc_id long, {label} int")
+    tables = [spark.createDataFrame(r, "doc_id long, text string").repartition(n) for r, n in ((rows, 2), (rows[::-1], 5), (sorted({i: min(t for j, t in rows if i == j) for i, _ in rows}.items()), 1))]
+    probe = spark.createDataFrame([(0, "zorg one"), (1, "beta1 gamma2"), (2, None)], "doc_id long, text string")
+    got = [sorted((r.doc_id, r.score) for r in module.score(probe, module.train(t, labels, label)).collect()) for t in tables]
+    assert got[0] == got[1] == got[2]
+
+
+def test_rows_without_id_are_not_held_out(spark, tmp_path):
+    from sparkloom.llm import queries
+
+    spark.createDataFrame([(None, "a b c"), (1, "a b"), (2, "b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 1), (2, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op1_lm_scoring", "op2_toxicity", "op4_quality"):
+        assert [r.held_out for r in queries.QUERIES[name](spark, str(tmp_path)).filter("doc_id IS NULL").collect()] == [False], name
+
+
 @pytest.mark.parametrize("toxic", [[4], [2, 4], [0, 2, 6, 10]])
 def test_toxicity_learns_from_labels_of_one_parity(spark, toxic):
     rng = random.Random(8)

@@ -3,7 +3,7 @@
 A sequence of n non-decreasing values below u keeps the low ``log2(u/n)`` bits of each value packed, and the high parts in unary: bit ``high + index`` is
 set for each value. A directory counts the ones before each 64-bit word: with it ``access`` finds the i-th one. Another says how many values stand before each
 high part, in full for every 64th and as a byte more for the others (two or four where runs are long): with it ``successor`` jumps to the
-values of a high part and compares low bits from there. All work on arrays of queries.
+values of a high part and halves them by their low bits. All work on arrays of queries.
 """
 
 from __future__ import annotations
@@ -62,11 +62,19 @@ class Sequence:
         self.low, self.high, self.ones = parts["low"], parts["high"], parts["ones"]
         self.mask = np.uint64((1 << self.bits) - 1)
         self.base, self.more = parts["base"], parts["more"]
+        #: Eight bytes of the low parts from each byte on.
+        self.bytes = np.ndarray((max(self.low.nbytes - 7, 0),), "<u8", self.low, strides=(1,))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), np.uint64)
         at = i * self.bits
+        if self.bits <= 57:  # a value lies within the eight bytes from its first one on
+            out = self.bytes[at >> 3]
+            at &= 7
+            out >>= at.view(np.uint64)
+            out &= self.mask
+            return out
         word, shift = at >> 6, (at & 63).astype(np.uint64)
         # a value may reach into the next word; a shift by 64 is made of two
         out = self.low[word] >> shift
@@ -86,30 +94,22 @@ class Sequence:
         top = (x >> np.uint64(self.bits)).astype(np.int64)
         want = x & self.mask
         i, end = self._before(top), self._before(top + 1)
-        inside = i < end
-        low = self._low(i)
-        hit = inside & (low == want)
-        open_ = np.flatnonzero(inside & (low < want))
-        for _ in range(8):
-            # runs of values with one high part are short; a longer one is halved below
-            if not len(open_):
-                return i, hit
-            i[open_] += 1
-            open_ = open_[i[open_] < end[open_]]
-            low = self._low(i[open_])
-            hit[open_] = low == want[open_]
-            open_ = open_[low < want[open_]]
-        if not len(open_):
-            return i, hit
-        a, b, last = i[open_], end[open_], end[open_]
-        while (a < b).any():
-            mid = (a + b) >> 1
-            less = (a < b) & (self._low(mid) < want[open_])
-            b = np.where((a < b) & ~less, mid, b)
-            a = np.where(less, mid + 1, a)
-        i[open_] = a
-        inside = a < last
-        hit[open_[inside]] = self._low(a[inside]) == want[open_[inside]]
+        left = end - i
+        # values of one high part lie close where a word has many successors, so runs are long: each is halved, and those that are done leave
+        own = np.flatnonzero(left)
+        at, left, goal = i[own], left[own], want[own]
+        while len(own):
+            half = left >> 1
+            less = (self._low(at + half) < goal) & (left > 0)
+            at += (half + 1) * less
+            left = np.where(less, left - half - 1, half)
+            go = np.flatnonzero(left)
+            if len(go) < 0.8 * len(left):
+                i[own] = at
+                own, at, left, goal = own[go], at[go], left[go], goal[go]
+        hit = i < end
+        inside = np.flatnonzero(hit)
+        hit[inside] = self._low(i[inside]) == want[inside]
         return i, hit
 
     def _before(self, top: np.ndarray) -> np.ndarray:

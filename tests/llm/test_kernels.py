@@ -51,6 +51,21 @@ def test_elias_fano_access_and_successor(n, u):
     assert (hit == np.isin(q, v)).all()
 
 
+@pytest.mark.parametrize("top", [1 << 40, (1 << 62) + 1])
+def test_elias_fano_successor_where_values_lie_close(top):
+    rng = np.random.default_rng(3)
+    near = [np.sort(rng.choice(30_000, n, replace=False)) for n in (1, 2, 3, 700, 9000)]
+    v = np.concatenate([a + (k << 36) for k, a in enumerate(near)] + [[top - 1] * 3])
+    for few in (v, v[:2], v[-3:]):
+        s = elias_fano.Sequence(elias_fano.encode(few, top))
+        q = np.concatenate([v, v + 1, rng.integers(0, top, 500), rng.integers(0, 30_000, 500) + (4 << 36)]).astype(np.uint64)
+        q = q[q < top]
+        at, hit = s.successor(q)
+        assert (at == np.searchsorted(few.astype(np.uint64), q)).all()
+        assert (hit == np.isin(q, few.astype(np.uint64))).all()
+        assert (s.access(np.arange(len(few))) == few.astype(np.uint64)).all()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
 def test_variable_length_code_round_trip(values):

@@ -110,3 +110,32 @@ def deduplicated(rows: list[tuple[int, str | None]], width: int = 3) -> dict[int
             seen.add(w)
         out[i] = t if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
+
+
+def mixed(x: int) -> int:
+    """The kernels' bijection on Python's own integers."""
+    full = (1 << 64) - 1
+    x &= full
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+    return x ^ x >> 31
+
+
+def ftrl(rows: list[dict[int, float]], labels: list[int], order, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> dict[int, float]:
+    """FTRL-proximal logistic regression, coordinate by coordinate."""
+    z, n = {}, {}
+
+    def weight(k: int) -> float:
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(epochs):
+        for d in order.permutation(len(rows)):
+            w = {k: weight(k) for k in rows[d]}
+            p = 1 / (1 + math.exp(-sum(w[k] * x for k, x in rows[d].items())))
+            for k, x in rows[d].items():
+                g, before = (p - labels[d]) * x, n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / alpha * w[k]
+                n[k] = before + g * g
+    return {k: weight(k) for k in z}

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparkloom.llm import elias_fano, kernels as K, token_files
+from sparkloom.llm import elias_fano, kernels as K, quality, simhash, token_files
 from tests.llm import brute
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("aB é\t\n\x0b .z0")), max_size=40)), max_size=12)
@@ -80,3 +80,39 @@ def test_token_file_round_trip(rows):
     ids = np.array([i for r in rows for i in r], np.int64)
     names, n, back = token_files.parse_file(token_files.file_bytes(np.arange(len(rows)), counts, ids))
     assert (names.tolist(), n.tolist(), back.tolist()) == (list(range(len(rows))), counts.tolist(), ids.tolist())
+
+
+@settings(max_examples=40, deadline=None)
+@given(TEXTS)
+def test_simhash_equals_plain_votes(texts):
+    got = simhash.fingerprints(pa.array(texts, pa.string()))
+    for row, text in zip(got, texts):
+        words = brute.words(text)
+        codes = K.word_hashes(pa.array([text], pa.string()))[0].tolist()
+        lengths = [len(w.encode()) for w in words]
+        votes = [0] * simhash.BITS
+        for k in range(len(words) - 2 if len(words) >= 3 else min(len(words), 1)):
+            term = codes[k]
+            for c in codes[k + 1 : k + 3]:
+                term = brute.mixed(term * 0xD6E8FEB86659FD93 + c)
+            weight = min(max(sum(lengths[k : k + 3]) // 4, 1), 4)
+            for part, seed in enumerate(simhash._SEEDS.tolist()):
+                bits = brute.mixed(term ^ seed)
+                for b in range(64):
+                    votes[part * 64 + b] += weight if bits >> b & 1 else -weight
+        assert np.unpackbits(row).tolist() == [int(v > 0) for v in votes]
+
+
+@pytest.mark.parametrize("l1", [0.02, 1.0])  # the larger one holds weights at zero
+def test_ftrl_equals_a_plain_loop(l1):
+    rng = np.random.default_rng(5)
+    vectors, labels = [], []
+    for k in range(60):
+        at = np.sort(rng.choice(40, rng.integers(1, 9), replace=False)).astype(np.int64)
+        vectors.append((np.append(at, 1 << quality.BITS), np.append(rng.random(len(at)), 1.0)))
+        labels.append(int(3 in at or k % 7 == 0))
+    got = quality.ftrl(vectors, labels, l1=l1)
+    want = brute.ftrl([dict(zip(at.tolist(), x.tolist())) for at, x in vectors], labels, np.random.default_rng(7), 4, 0.5, 1.0, l1, 0.01)
+    places = sorted(want)
+    assert np.allclose(got[places], [want[k] for k in places], rtol=1e-5, atol=1e-7)
+    assert set(np.flatnonzero(got).tolist()) <= set(places) and any(want.values()) and (l1 < 1 or not all(want.values()))

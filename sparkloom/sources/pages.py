@@ -86,18 +86,18 @@ class _Reader(HTMLParser):
             self._seen_title = True
 
     def handle_data(self, data: str) -> None:
+        names = [t for t, _ in self._open[-1:]]
+        if "title" in names and not self._seen_title:
+            self.title.append(data)  # a bare "<" comes as a piece of its own: pieces join as they stand
         text = data.strip()
         if not text:
             return
-        names = [t for t, _ in self._open[-1:]]
         if names == ["script"]:
             if self.blobs and self.blobs[-1] == "":
                 self.blobs[-1] = data
             return
         if names == ["style"]:
             return
-        if "title" in names and not self._seen_title:
-            self.title.append(text)
         if self._link is not None:
             self._link[1].append(text)
         if self._time is not None:

@@ -197,6 +197,13 @@ def test_page_facts_and_dates(spark):
     assert (got[5].text, got[5].title, got[5].og_title) == ("Page title H nothing", "Page title", "Og")
 
 
+def test_titles_with_bare_signs(spark):
+    """Space around a bare "<" stays; a reference cut off before its semicolon is one all the same, as in HTML."""
+    titles = {"a < b": "a < b", "a < < b": "a < < b", " x\n<3 y ": "x\n<3 y", "1<2": "1<2", "R&amp;D, token = &quot": 'R&D, token = "', "cut &quo": "cut &quo", " ": None}
+    rows = [(t, f"<html><head><title>{t}</title><style>p{{}}</style></head><body><p>p</p></body></html>") for t in titles]
+    assert {r.t: r.title for r in pages.facts(spark.createDataFrame(rows, "t string, html string")).collect()} == titles
+
+
 def test_links_and_declared_feeds(spark):
     html = "<link rel='alternate' type='application/rss+xml' href='/feed'><a href='/out'>outside of it all</a><div class='x listing'><a href='/a#1'>A good long title</a><a href='#x'>no</a><a href='https://other/z'>no</a><a href='mailto:a'>no</a><a href='/a#1'>again</a><a href='b'>short</a></div>"
     df = spark.createDataFrame([("https://x.com/l/", html)], "url string, html string")
